@@ -143,12 +143,12 @@ def filled_sql(b: str) -> str:
             f"ELSE {b}_lv + (month - {b}_lt)/({b}_rt - {b}_lt)*({b}_rv - {b}_lv) END")
 
 
-@check("interpolate_temporal", duck_cube(f"SELECT pixel_id, season_year, month, {', '.join(f'round({filled_sql(b)}, 8) AS {b}' for b in _FILL)} FROM w",
+@check("interpolate_temporal", duck_cube(f"SELECT pixel_id, season_year, month, {', '.join(f'round({filled_sql(b)}, 9) AS {b}' for b in _FILL)} FROM w",
                                          w=f"SELECT pixel_id, season_year, month, {', '.join(fill_sql(b) for b in _FILL)} FROM cube"))
 def _(spark, sf):
     rows = cube(spark, sf).select("pixel_id", "season_year", "month", *_FILL)
     done = gapfill.interpolate_temporal(rows, ["pixel_id", "season_year"], _FILL)
-    return done.withColumns({b: F.round(b, 8) for b in _FILL})
+    return done.withColumns({b: F.round(b, 9) for b in _FILL})
 
 
 @check("valid_span", duck_cube("SELECT pixel_id, season_year, min(CASE WHEN red IS NOT NULL THEN month END) AS first_valid, max(CASE WHEN red IS NOT NULL THEN month END) AS last_valid FROM cube GROUP BY ALL"))
@@ -159,13 +159,13 @@ def _(spark, sf):
 _SERIES = [*[b for b in BAND_LIST if b not in ("coastal", "water_vapor")], "ndvi"]
 
 
-@check("build_features", duck_cube(f"SELECT pixel_id, season_year, month, CAST(0 AS DOUBLE) AS era5_0, {', '.join(f'round({filled_sql(b)}, 8) AS {b}' for b in _SERIES)} FROM w",
+@check("build_features", duck_cube(f"SELECT pixel_id, season_year, month, CAST(0 AS DOUBLE) AS era5_0, {', '.join(f'round({filled_sql(b)}, 9) AS {b}' for b in _SERIES)} FROM w",
                                    c2=f"SELECT *, {NDVI_SQL.format(n='nir', r='red')} AS ndvi FROM cube",
                                    w=f"SELECT pixel_id, season_year, month, {', '.join(fill_sql(b) for b in _SERIES)} FROM c2"))
 def _(spark, sf):
     arrays = features.build_features(cube(spark, sf), ["pixel_id", "season_year"])
     rows = arrays.select("pixel_id", "season_year", F.posexplode("x").alias("_m", "_v"))
-    at = {c: F.round(F.element_at("_v", features.CHANNELS.index(c) + 1), 8).alias(c) for c in [*_SERIES, "era5_0"]}
+    at = {c: F.round(F.element_at("_v", features.CHANNELS.index(c) + 1), 9).alias(c) for c in [*_SERIES, "era5_0"]}
     return rows.select("pixel_id", "season_year", (F.col("_m") + 1).alias("month"), *at.values())
 
 
@@ -241,7 +241,8 @@ def _(spark, sf):
     return r9(metrics.class_weights(table(spark, sf, "embeddings"), "balanced"), ["weight"])
 
 
-@check("quality_token_counts", "SELECT 48 AS min_masked, 48 AS max_masked, true AS equal FROM (SELECT count(*) AS n FROM part) WHERE n > 0")
+@check("quality_token_counts", """SELECT CAST(min(n) AS INT) AS min_masked, CAST(max(n) AS INT) AS max_masked, min(n) = max(n) AS equal
+ FROM (SELECT p_partkey, sum(CASE WHEN c BETWEEN 12 AND 15 THEN 1 ELSE 0 END) AS n FROM part, range(17) t(c), range(12) u(m) GROUP BY p_partkey)""")
 def _(spark, sf):
     rows = view(spark, sf, "v_mask").select("pixel_id", F.flatten(F.array_repeat(features.channel_mask(), 12)).alias("mask"))
     return metrics.masked_token_range(rows)

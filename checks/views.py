@@ -19,11 +19,13 @@ def _cells(name: str) -> list[str]:
     return [f"{name} AS pixel_id"] + [e.format(id=name) for e in CELL_EXPRS]
 
 
+# whole numbers over powers of two: exact in both engines, so medians and fills are equal to the last bit
+_DISC, _TAX, _PRICE = "round(l_discount*100)", "round(l_tax*100)", "round(l_extendedprice)"
 CODES = {
-    "B1": "l_tax + 0.01", "B2": "l_discount + 0.02", "B3": "l_quantity/60", "B4": "l_quantity/50",
-    "B5": "(l_quantity + l_tax*10)/80", "B6": "l_extendedprice/150000 + l_tax", "B7": "l_extendedprice/120000",
-    "B8": "l_extendedprice/100000", "B8A": "l_extendedprice/90000 - l_discount/10", "B9": "l_tax*2",
-    "B11": "l_discount*3 + l_quantity/100", "B12": "l_discount + l_tax",
+    "B1": f"({_TAX} + 1)/64", "B2": f"({_DISC} + 2)/128", "B3": f"(l_quantity + {_DISC})/64", "B4": "l_quantity/64",
+    "B5": f"(l_quantity + {_TAX})/128", "B6": f"({_PRICE} + {_TAX}*1000)/262144", "B7": f"{_PRICE}/131072",
+    "B8": f"{_PRICE}/131072 + l_quantity/1024", "B8A": f"{_PRICE}/131072 - {_DISC}/1024", "B9": f"{_TAX}/32",
+    "B11": f"({_DISC}*4 + l_quantity)/256", "B12": f"({_DISC} + {_TAX})/32",
 }
 BAND_LIST = "coastal blue green red red_edge1 red_edge2 red_edge3 nir red_edge4 water_vapor swir1 swir2 vv vh".split()
 BANDS_SQL = {n: e for n, e in zip(BAND_LIST, CODES.values())}

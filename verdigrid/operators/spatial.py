@@ -71,6 +71,11 @@ def reproject_edges(edges: DataFrame, target: Column, source: str = "epsg") -> D
     return edges.withColumns({"x0": x0, "y0": y0, "x1": x1, "y1": y1, source: target})
 
 
+def settled(iou: Column) -> Column:
+    """Rounded, so that the order of summation decides neither a threshold nor a tie."""
+    return F.round(iou, 12)
+
+
 def box_overlap_join(left: DataFrame, left_box: list[str], right: DataFrame, right_box: list[str],
                      cell: float, on: list[str] | None = None) -> DataFrame:
     """Pairs of rows whose boxes meet (shared borders count), found through a grid of ``cell``-sized buckets.
@@ -130,13 +135,13 @@ def iou_join(edges: DataFrame, poly_keys: list[str], footprints: DataFrame, rast
                    F.first("poly_area").alias("poly_area"), F.first(box_area).alias("box_area")))
     union = F.col("poly_area") + F.col("box_area") - F.col("inter_area")
     iou = F.coalesce(F.try_divide(F.col("inter_area"), union), F.lit(0.0))
-    return shared.drop("box_area").withColumn("iou", iou).filter(F.col("iou") >= threshold)
+    return shared.withColumn("iou", iou).drop("box_area").filter(settled(F.col("iou")) >= threshold)
 
 
 def rank_candidates(candidates: DataFrame, poly_keys: list[str], path: str = "path",
                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """1-based ``rank`` of the rasters of a polygon, best iou first, ties in path order."""
-    return row_numbers(candidates, poly_keys, [F.col("iou").desc(), F.col(path)], "rank", hot_rows)
+    return row_numbers(candidates, poly_keys, [settled(F.col("iou")).desc(), F.col(path)], "rank", hot_rows)
 
 
 def polygon_cells(edges: DataFrame, poly_keys: list[str], t: dict[str, Column] | None = None,

@@ -82,7 +82,7 @@ def run_pipeline(runs: DataFrame, inputs: DataFrame, masks: DataFrame, cells: Da
               .select(*keys, F.lit("no pixel rows for input").alias("error")))
     mode = known.select(*keys, "mask_mode")
     aligned = classes_of.select(*keys, "grid_row", "grid_col", "cls")
-    grid_cells = cells.join(mode, keys)
+    grid_cells = cells.select(*keys, "grid_row", "grid_col", "lat", "lon").join(mode, keys)
     whole = F.col("mask_mode") != pairing.CROPPED
     mask = (grid_cells.join(aligned, [*keys, "grid_row", "grid_col"], "left")
             .withColumn("cls", F.when(whole, 4).otherwise(F.coalesce("cls", F.lit(0)))))

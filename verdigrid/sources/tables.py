@@ -8,8 +8,11 @@ from verdigrid.bands import S1_CODES, S2_BANDS, S2_CODES
 from verdigrid.functions import names
 from verdigrid.skew import running_total
 
-GEOMETRY = "struct<type: string, coordinates: array<array<array<double>>>>"
-FEATURE = f"type: string, properties: map<string, string>, geometry: {GEOMETRY}"
+# The fields of a GeoJSON feature that are read.
+FEATURE = [("type", "string"), ("properties", "map<string, string>"),
+           ("geometry", "struct<type: string, coordinates: array<array<array<double>>>>")]
+FEATURE_COLUMNS = ", ".join(f"{name} {kind}" for name, kind in FEATURE)
+FEATURE_STRUCT = "struct<" + ", ".join(f"{name}: {kind}" for name, kind in FEATURE) + ">"
 
 
 def rename_bands(scenes: DataFrame, codes: list[str] = S2_CODES, bands: list[str] = S2_BANDS) -> DataFrame:
@@ -35,7 +38,7 @@ def load_rois(spark: SparkSession, path: str, per_line: bool = True) -> DataFram
     Only polygon geometries carry rings; a feature without any has NULL rings.
     """
     if per_line:
-        read = spark.read.schema(FEATURE).json(path)
+        read = spark.read.schema(FEATURE_COLUMNS).json(path)
         features = read.select("*", F.col("_metadata.file_path").alias("_file"),
                                F.col("_metadata.file_block_start").alias("_block"),
                                F.monotonically_increasing_id().alias("_pos"))
@@ -43,7 +46,7 @@ def load_rois(spark: SparkSession, path: str, per_line: bool = True) -> DataFram
         numbered = running_total(features.withColumn("_all", F.lit(0)), ["_all"], order,
                                  F.lit(1).cast("bigint"), "_no")
         return _rings(numbered.withColumn("feat_idx", (F.col("_no") - 1).cast("int")))
-    read = spark.read.schema(f"features array<struct<{FEATURE}>>").option("multiLine", True).json(path)
+    read = spark.read.schema(f"features array<{FEATURE_STRUCT}>").option("multiLine", True).json(path)
     return _rings(read.select(F.posexplode("features").alias("feat_idx", "_f"))
                   .select("feat_idx", "_f.type", "_f.properties", "_f.geometry"))
 
