@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.registry import check
 from checks.scalars import MONTH_SQL, NDVI_SQL, YEAR_SQL, r9
 from checks.views import BAND_LIST, CODES, SEASONS, duck, s1, table, view
-from verdigrid.bands import BANDS, FILL_BAND, MONTHS, S1_BANDS, S2_BANDS, WIDE_BANDS, wide_name
+from verdigrid.bands import BANDS, FILL_BAND, MONTHS, S1_BANDS, S2_BANDS, wide_name
 from verdigrid.operators import composite, features, gapfill, metrics, pairing, scenes
 from verdigrid.plans import stack
 from verdigrid.sources import tables
@@ -37,9 +37,9 @@ def cube(spark, sf, **options):
     return stack.build_cube(tables.rename_bands(view(spark, sf, "v_s2")), s1(spark, sf), pixels, KEY, *SEASONS, **options)
 
 
-@check("monthly_median_s2", duck(f"SELECT pixel_id, season_year, month, {', '.join(f'round({b}, 9) AS {b}' for b in S2_BANDS)} FROM s2m", "v_s2", s2m=S2_MED))
+@check("monthly_median_s2", duck(f"SELECT pixel_id, season_year, month, {', '.join(S2_BANDS)} FROM s2m", "v_s2", s2m=S2_MED))
 def _(spark, sf):
-    return r9(stack.optical_composite(tables.rename_bands(view(spark, sf, "v_s2")), KEY), S2_BANDS)
+    return stack.optical_composite(tables.rename_bands(view(spark, sf, "v_s2")), KEY)
 
 
 @check("monthly_median_s1", duck("SELECT pixel_id, season_year, month, round(vv, 9) AS vv, round(vh, 9) AS vh FROM s1m", "v_s1", s1m=S1_MED))
@@ -47,19 +47,19 @@ def _(spark, sf):
     return r9(stack.radar_composite(s1(spark, sf), KEY), S1_BANDS)
 
 
-@check("month_spine", duck(f"SELECT s.pixel_id, s.season_year, s.month, round(red, 9) AS red, round(nir, 9) AS nir FROM spine s LEFT JOIN s2m USING (pixel_id, season_year, month)",
+@check("month_spine", duck(f"SELECT s.pixel_id, s.season_year, s.month, red, nir FROM spine s LEFT JOIN s2m USING (pixel_id, season_year, month)",
                            "v_s2", "v_mask", s2m=S2_MED, spine=SPINE))
 def _(spark, sf):
     seen = stack.optical_composite(tables.rename_bands(view(spark, sf, "v_s2")), KEY, bands=["red", "nir"])
     pixels = view(spark, sf, "v_mask").withColumn("season_year", F.explode(F.sequence(*[F.lit(y) for y in SEASONS])))
-    return r9(composite.on_spine(pixels, seen, KEY, ["red", "nir"]), ["red", "nir"])
+    return composite.on_spine(pixels, seen, KEY, ["red", "nir"])
 
 
 @check("stack_168", duck_cube("SELECT pixel_id, season_year, " + ", ".join(
-    f"round(max(CASE WHEN month={m} THEN {b} END), 9) AS {wide_name(m, b)}" for m in MONTHS for b in BANDS)
+    f"max(CASE WHEN month={m} THEN {b if b in S2_BANDS else f'round({b}, 9)'} END) AS {wide_name(m, b)}" for m in MONTHS for b in BANDS)
     + " FROM cube GROUP BY pixel_id, season_year"))
 def _(spark, sf):
-    return r9(composite.stack_wide(cube(spark, sf), [*KEY, "season_year"]), WIDE_BANDS)
+    return composite.stack_wide(r9(cube(spark, sf), S1_BANDS), [*KEY, "season_year"])
 
 
 @check("build_stack", duck_cube("SELECT pixel_id, season_year, month, band, round(value, 9) AS value FROM (UNPIVOT cube ON "
@@ -73,7 +73,7 @@ def _(spark, sf):
 
 def wide_lineitem(spark, sf):
     """A wide raster with a few bands of each month and the fill band, from item rows."""
-    cols = {wide_name(m, b): f"l_extendedprice * {m} / {10 + i}" for m in MONTHS for i, b in enumerate(BANDS)}
+    cols = {wide_name(m, b): f"l_quantity * {m} / {2 ** i}" for m in MONTHS for i, b in enumerate(BANDS)}
     return table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_partkey", *[f"{e} AS {n}" for n, e in cols.items()],
                                                   f"l_tax AS {FILL_BAND}")
 
@@ -82,25 +82,23 @@ _WIDE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
 
 
 @check("unstack_to_cube", "SELECT l_orderkey, l_linenumber, l_partkey, CAST(m AS INT) AS month, " + ", ".join(
-    f"round(l_extendedprice * m / {10 + i}, 6) AS {b}" for i, b in enumerate(BANDS)) + " FROM lineitem, range(1, 13) t(m)")
+    f"l_quantity * m / {2 ** i} AS {b}" for i, b in enumerate(BANDS)) + " FROM lineitem, range(1, 13) t(m)")
 def _(spark, sf):
     wide = composite.drop_fill_mask(wide_lineitem(spark, sf), _WIDE_KEYS)
-    return composite.unstack(wide, _WIDE_KEYS).withColumns({b: F.round(b, 6) for b in BANDS})
+    return composite.unstack(wide, _WIDE_KEYS)
 
 
 @check("drop_fill_mask", "SELECT l_orderkey, l_linenumber, l_partkey, " + ", ".join(
-    f"round(l_extendedprice * {m} / {10 + i}, 6) AS {wide_name(m, b)}" for m in MONTHS for i, b in enumerate(BANDS)) + " FROM lineitem")
+    f"l_quantity * {m} / {2 ** i} AS {wide_name(m, b)}" for m in MONTHS for i, b in enumerate(BANDS)) + " FROM lineitem")
 def _(spark, sf):
-    return composite.drop_fill_mask(wide_lineitem(spark, sf), _WIDE_KEYS).withColumns({b: F.round(b, 6) for b in WIDE_BANDS})
+    return composite.drop_fill_mask(wide_lineitem(spark, sf), _WIDE_KEYS)
 
 
 @check("name_problems", duck("""SELECT l_orderkey, l_linenumber, name, CASE WHEN NOT regexp_matches(name, '^M(\\d{2})_(.+)$') THEN 'bad_format'
  WHEN CAST(substr(name, 2, 2) AS INT) NOT BETWEEN 1 AND 12 THEN 'bad_month_range' ELSE 'unknown_band' END AS problem FROM v_names
  WHERE NOT regexp_matches(name, '^M(0[1-9]|1[0-2])_(""" + "|".join(BAND_LIST) + ")$')", "v_names"))
 def _(spark, sf):
-    names = view(spark, sf, "v_names")
-    bad = composite.name_problems(names.select(F.struct("l_orderkey", "l_linenumber", "name").alias("row"), "name"), "name")
-    return (names.join(bad.distinct(), "name").select("l_orderkey", "l_linenumber", "name", "problem"))
+    return composite.name_problems(view(spark, sf, "v_names"))
 
 
 _BAD = "CASE WHEN {c} IS NULL OR NOT isfinite({c}) THEN 1 ELSE 0 END"

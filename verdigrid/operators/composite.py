@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from verdigrid.bands import BANDS, FILL_BAND, MONTHS, S1_BANDS, S2_BANDS, SEASON_START_MONTH, wide_name
+from verdigrid.bands import BANDS, FILL_BAND, MONTHS, SEASON_START_MONTH, wide_name
 from verdigrid.functions import calendar, names
 from verdigrid.skew import HOT_ROWS, exact_median
 
@@ -17,16 +17,13 @@ def with_season(obs: DataFrame, ts: str = "ts", start_month: int = SEASON_START_
 
 def monthly_median(obs: DataFrame, keys: list[str], bands: list[str], ts: str = "ts",
                    start_month: int = SEASON_START_MONTH, start_day: int = 1,
-                   hot_rows: int | None = HOT_ROWS, colocate: bool = False) -> DataFrame:
+                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Per pixel, season and month the median of the valid values of each band.
 
-    With ``colocate`` the one shuffle is by pixel and season, and every later step
-    per pixel (spine, gap fill, stack) reuses it.
+    Rows are placed by pixel and season, so later steps per pixel need no shuffle.
     """
     binned = with_season(obs, ts, start_month, start_day).select(*keys, "season_year", "month", *bands)
-    if colocate:
-        binned = binned.repartition(*keys, "season_year")
-    return exact_median(binned, [*keys, "season_year", "month"], bands, hot_rows)
+    return exact_median(binned, [*keys, "season_year", "month"], bands, hot_rows, [*keys, "season_year"])
 
 
 def month_spine(pixels: DataFrame) -> DataFrame:
@@ -35,26 +32,33 @@ def month_spine(pixels: DataFrame) -> DataFrame:
 
 
 def month_map(cube: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
-    """One row per pixel with a map month -> bands, at most twelve entries."""
-    entries = F.collect_list(F.struct("month", F.struct(*bands)))
-    return cube.groupBy(*keys).agg(F.map_from_entries(entries).alias("_months"))
+    """One row per pixel with a map month -> bands of at most twelve entries; rows without month add none."""
+    entry = F.when(F.col("month").isNotNull(), F.struct(F.col("month"), F.struct(*bands)))
+    return cube.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_months"))
+
+
+def spread_months(rows: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
+    """All twelve months of every pixel that has a row, missing ones with NULL bands."""
+    values = F.try_element_at("_months", F.col("month"))
+    return (month_spine(month_map(rows, keys, bands))
+            .select(*keys, "month", *[values.getField(b).alias(b) for b in bands]))
 
 
 def on_spine(pixels: DataFrame, composite: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
     """Twelve rows for every pixel and season in ``pixels``; a month without observation has NULL bands.
 
-    Joined on the pixel, not on the month, so the spine itself is never shuffled.
+    Joined on pixel and season, not on the month, so the spine itself is never shuffled.
     """
     on = [*keys, "season_year"]
-    joined = pixels.select(*on).join(month_map(composite, on, bands), on, "left")
-    values = F.try_element_at("_months", F.col("month"))
-    return month_spine(joined).select(*on, "month", *[values.getField(b).alias(b) for b in bands])
+    return spread_months(pixels.select(*on).join(composite, on, "left"), on, bands)
 
 
-def join_sensors(s2: DataFrame, s1: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per pixel-month seen by either sensor, with the 14 bands."""
-    on = [*keys, "season_year", "month"]
-    return s2.join(s1, on, "full_outer").select(*on, *S2_BANDS, *S1_BANDS)
+def union_sensors(s2: DataFrame, s1: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
+    """Observations of both sensors in one table (keys, season_year, month, bands); the other sensor's bands are NULL."""
+    def shaped(obs: DataFrame) -> DataFrame:
+        return obs.select(*keys, "season_year", "month", *[
+            (F.col(b) if b in obs.columns else F.lit(None)).cast("double").alias(b) for b in bands])
+    return shaped(s2).unionByName(shaped(s1))
 
 
 def stack_wide(cube: DataFrame, keys: list[str], bands: list[str] = BANDS) -> DataFrame:
@@ -74,9 +78,8 @@ def drop_fill_mask(stack: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def name_problems(band_names: DataFrame, name: str = "name") -> DataFrame:
-    """Names that cannot be placed in the cube, with the reason."""
-    status = names.band_status(F.col(name))
-    return band_names.select(F.col(name), status.alias("problem")).filter(F.col("problem") != "ok")
+    """Rows whose name cannot be placed in the cube, with the reason."""
+    return band_names.withColumn("problem", names.band_status(F.col(name))).filter(F.col("problem") != "ok")
 
 
 def unstack(stack: DataFrame, keys: list[str], strict: bool = True, by_name: bool = True) -> DataFrame:

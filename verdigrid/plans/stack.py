@@ -7,22 +7,28 @@ from pyspark.sql import DataFrame, functions as F
 from verdigrid.bands import BANDS, MAX_CLOUD_PCT, S1_BANDS, S2_BANDS, SEASON_START_MONTH
 from verdigrid.functions.calendar import season_bounds
 from verdigrid.operators import composite, scenes
-from verdigrid.skew import HOT_ROWS
+from verdigrid.skew import HOT_ROWS, bounded_median, median_of_hot, split_hot
+
+
+def clear_optical(s2: DataFrame, max_cloud: float = MAX_CLOUD_PCT, bands: list[str] = S2_BANDS) -> DataFrame:
+    """Optical observations up to the cloud limit, cloudy pixels and non-finite values as NULL."""
+    return scenes.clean_nonfinite(scenes.mask_qa(scenes.filter_cloud_pct(s2, max_cloud), bands), bands)
+
+
+def linear_radar(s1: DataFrame) -> DataFrame:
+    """Radar observations of the wanted mode in linear power."""
+    return scenes.clean_nonfinite(scenes.radar_to_linear(scenes.filter_s1_mode(s1)), S1_BANDS)
 
 
 def optical_composite(s2: DataFrame, keys: list[str], max_cloud: float = MAX_CLOUD_PCT,
                       bands: list[str] = S2_BANDS, start_month: int = SEASON_START_MONTH, start_day: int = 1,
                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    clear = scenes.mask_qa(scenes.filter_cloud_pct(s2, max_cloud), bands)
-    return composite.monthly_median(scenes.clean_nonfinite(clear, bands), keys, bands, "ts", start_month, start_day,
-                                    hot_rows, colocate=True)
+    return composite.monthly_median(clear_optical(s2, max_cloud, bands), keys, bands, "ts", start_month, start_day, hot_rows)
 
 
 def radar_composite(s1: DataFrame, keys: list[str], start_month: int = SEASON_START_MONTH, start_day: int = 1,
                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    linear = scenes.radar_to_linear(scenes.filter_s1_mode(s1))
-    return composite.monthly_median(scenes.clean_nonfinite(linear, S1_BANDS), keys, S1_BANDS, "ts", start_month,
-                                    start_day, hot_rows, colocate=True)
+    return composite.monthly_median(linear_radar(s1), keys, S1_BANDS, "ts", start_month, start_day, hot_rows)
 
 
 def build_cube(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str], first_year: int, last_year: int,
@@ -30,22 +36,24 @@ def build_cube(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str],
                start_day: int = 1, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Twelve rows with the given bands for every pixel and season of the range.
 
-    ``pixels`` are the cells to build (inside of a region, or of the scored class);
-    observations of other cells are dropped before the medians.
+    ``pixels`` are the cells to build (inside of a region, or of the scored class),
+    each once. Both sensors are shuffled together, by pixel and season, to the join
+    with the cells; medians, month spine and all later work per pixel stay in place.
     """
-    start, end = season_bounds(first_year, start_month, start_day)[0], season_bounds(last_year, start_month, start_day)[1]
-    cells = pixels.select(*keys)
-    s2_bands = [b for b in S2_BANDS if b in bands]
-
-    def wanted(obs: DataFrame) -> DataFrame:
-        return scenes.filter_dates(obs, start, end).join(cells, keys, "left_semi")
-
-    optical = optical_composite(wanted(s2), keys, max_cloud, s2_bands, start_month, start_day, hot_rows)
-    radar = radar_composite(wanted(s1), keys, start_month, start_day, hot_rows)
-    on = [*keys, "season_year", "month"]
-    both = optical.join(radar, on, "full_outer").select(*on, *bands)
-    seasons = cells.withColumn("season_year", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))))
-    return composite.on_spine(seasons, both, keys, bands)
+    start = season_bounds(first_year, start_month, start_day)[0]
+    end = season_bounds(last_year, start_month, start_day)[1]
+    optical = clear_optical(scenes.filter_dates(s2, start, end), max_cloud, [b for b in S2_BANDS if b in bands])
+    radar = linear_radar(scenes.filter_dates(s1, start, end))
+    seen = composite.union_sensors(composite.with_season(optical, "ts", start_month, start_day),
+                                   composite.with_season(radar, "ts", start_month, start_day), keys, bands)
+    on = [*keys, "season_year"]
+    cold, hot = split_hot(seen, [*on, "month"], hot_rows)
+    years = F.sequence(F.lit(first_year), F.lit(last_year))
+    cells = pixels.select(*keys).withColumn("season_year", F.explode(years))
+    medians = bounded_median(cells.join(cold, on, "left"), [*on, "month"], bands)
+    if hot is not None:
+        medians = medians.unionByName(median_of_hot(hot.join(cells, on, "left_semi"), [*on, "month"], bands))
+    return composite.spread_months(medians, on, bands)
 
 
 def build_stack(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str], first_year: int, last_year: int,

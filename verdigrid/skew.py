@@ -71,14 +71,38 @@ def row_numbers(df: DataFrame, keys: list[str], order: list[Column], name: str,
     return numbered.unionByName(running_total(hot, keys, order, F.lit(1).cast("bigint"), name))
 
 
-def exact_median(df: DataFrame, keys: list[str], cols: list[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Exact interpolated median of the non-NULL values of every column, one row per key."""
+def bounded_median(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Exact interpolated median per key, for groups of a bounded size.
+
+    One list of rows per group is several times faster than one median buffer per
+    column, and holds no more than the group's rows.
+    """
+    counts = [F.count(c).alias(f"_n_{c}") for c in cols]
+    groups = df.groupBy(*keys).agg(F.collect_list(F.struct(*cols)).alias("_rows"), *counts)
+
+    def median(c: str) -> Column:
+        # descending order puts NULL last
+        ordered, n = F.sort_array(F.col(f"_rows.{c}"), False), F.col(f"_n_{c}")
+        middle = [F.get(ordered, F.floor((n - k) / 2).cast("int")) for k in (1, 0)]
+        return F.when(n > 0, middle[0] * 0.5 + middle[1] * 0.5).alias(c)
+
+    return groups.select(*keys, *[median(c) for c in cols])
+
+
+def exact_median(df: DataFrame, keys: list[str], cols: list[str], hot_rows: int | None = HOT_ROWS,
+                 place_by: list[str] | None = None) -> DataFrame:
+    """Exact interpolated median of the non-NULL values of every column, one row per key.
+
+    The rows are shuffled once, by ``place_by`` (some of the keys), and later steps
+    on those columns reuse that. Medians gain nothing from map-side buffers.
+    """
     cold, hot = split_hot(df, keys, hot_rows)
-    medians = cold.groupBy(*keys).agg(*[F.median(c).alias(c) for c in cols])
-    return medians if hot is None else medians.unionByName(_median_of_hot(hot, keys, cols))
+    medians = bounded_median(cold.repartition(*(place_by or keys)), keys, cols)
+    return medians if hot is None else medians.unionByName(median_of_hot(hot, keys, cols))
 
 
-def _median_of_hot(hot: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+def median_of_hot(hot: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """The same for groups of any size: equal values are counted, and the running count finds the middle."""
     cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols])
     counts = (hot.select(*keys, F.explode(cells).alias("cell")).select(*keys, "cell.name", "cell.value")
               .filter(F.col("value").isNotNull())
