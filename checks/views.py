@@ -20,7 +20,7 @@ def _cells(name: str) -> list[str]:
 
 
 # whole numbers over powers of two: exact in both engines, so medians and fills are equal to the last bit
-_DISC, _TAX, _PRICE = "round(l_discount*100)", "round(l_tax*100)", "round(l_extendedprice)"
+_DISC, _TAX, _PRICE = "CAST(floor(l_discount*100 + 0.5) AS DOUBLE)", "CAST(floor(l_tax*100 + 0.5) AS DOUBLE)", "CAST(floor(l_extendedprice) AS DOUBLE)"
 CODES = {
     "B1": f"({_TAX} + 1)/64", "B2": f"({_DISC} + 2)/128", "B3": f"(l_quantity + {_DISC})/64", "B4": "l_quantity/64",
     "B5": f"(l_quantity + {_TAX})/128", "B6": f"({_PRICE} + {_TAX}*1000)/262144", "B7": f"{_PRICE}/131072",

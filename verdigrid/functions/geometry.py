@@ -6,7 +6,7 @@ An affine header is six columns ``a b c d e f``:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 AFFINE = ["a", "b", "c", "d", "e", "f"]
 
@@ -72,31 +72,31 @@ def shoelace_term(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return (x0 * y1 - x1 * y0) / 2.0
 
 
-def clipped_area_term(edge: list[Column], box: list[Column]) -> Column:
-    """Part of a directed edge in the area of its polygon inside a box.
+def clipped_area_terms(df: DataFrame, edge: list[str], box: list[str], name: str) -> DataFrame:
+    """Add the part of a directed edge in the area of its polygon inside a box.
 
     The area under the edge, above the lower side of the box and clamped to the
     box; summed over the edges of a polygon its absolute value is the area of
     polygon and box in common. NULL when the edge does not pass over the box.
+    Computed in steps, so that no single generated method becomes too large to compile.
     """
-    ax, ay, bx, by = edge
-    x0, y0, x1, y1 = box
-    lo = F.greatest(F.least(ax, bx), x0)
-    hi = F.least(F.greatest(ax, bx), x1)
+    ax, ay, bx, by = [F.col(c) for c in edge]
+    x0, y0, x1, y1 = [F.col(c) for c in box]
     height = y1 - y0
-    slope = (by - ay) / F.nullif(bx - ax, F.lit(0.0))
-    # heights over the lower box side, so that small slopes keep their digits
-    ha = ay - y0 + slope * (lo - ax)
-    hb = ay - y0 + slope * (hi - ax)
+    lo, hi, slope, ha, hb = [F.col(f"_{c}") for c in ("lo", "hi", "slope", "ha", "hb")]
 
     def clamp(h: Column) -> Column:
         return F.least(F.greatest(h, F.lit(0.0)), height)
 
     def under(h: Column) -> Column:
-        inside = clamp(h)
-        return inside * inside / 2.0 + height * F.greatest(h - height, F.lit(0.0))
+        return clamp(h) * clamp(h) / 2.0 + height * F.greatest(h - height, F.lit(0.0))
 
     flat = F.abs(slope) < 1e-12
     area = F.when(flat, clamp((ha + hb) / 2.0) * (hi - lo)).otherwise(
         (under(hb) - under(ha)) / F.when(flat, 1.0).otherwise(slope))
-    return F.when((lo < hi) & (ax != bx), F.when(bx > ax, area).otherwise(-area))
+    steps = (df.withColumns({"_lo": F.greatest(F.least(ax, bx), x0), "_hi": F.least(F.greatest(ax, bx), x1),
+                             "_slope": (by - ay) / F.nullif(bx - ax, F.lit(0.0))})
+             # heights over the lower box side, so that small slopes keep their digits
+             .withColumns({"_ha": ay - y0 + slope * (lo - ax), "_hb": ay - y0 + slope * (hi - ax)}))
+    return (steps.withColumn(name, F.when((lo < hi) & (ax != bx), F.when(bx > ax, area).otherwise(-area)))
+            .drop("_lo", "_hi", "_slope", "_ha", "_hb"))

@@ -20,10 +20,10 @@ def monthly_median(obs: DataFrame, keys: list[str], bands: list[str], ts: str =
                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Per pixel, season and month the median of the valid values of each band.
 
-    Rows are placed by pixel and season, so later steps per pixel need no shuffle.
+    Rows are placed by pixel, so later steps per pixel need no shuffle.
     """
     binned = with_season(obs, ts, start_month, start_day).select(*keys, "season_year", "month", *bands)
-    return exact_median(binned, [*keys, "season_year", "month"], bands, hot_rows, [*keys, "season_year"])
+    return exact_median(binned, [*keys, "season_year", "month"], bands, hot_rows, keys)
 
 
 def month_spine(pixels: DataFrame) -> DataFrame:
@@ -31,17 +31,17 @@ def month_spine(pixels: DataFrame) -> DataFrame:
     return pixels.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
 
 
-def month_map(cube: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
-    """One row per pixel with a map month -> bands of at most twelve entries; rows without month add none."""
-    entry = F.when(F.col("month").isNotNull(), F.struct(F.col("month"), F.struct(*bands)))
-    return cube.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_months"))
-
-
 def spread_months(rows: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
-    """All twelve months of every pixel that has a row, missing ones with NULL bands."""
-    values = F.try_element_at("_months", F.col("month"))
-    return (month_spine(month_map(rows, keys, bands))
-            .select(*keys, "month", *[values.getField(b).alias(b) for b in bands]))
+    """All twelve months of every pixel that has a row, missing ones with NULL bands.
+
+    Rows with a NULL month say that the pixel exists; others are one per month.
+    """
+    entry = F.struct(F.col("month"), *bands)
+    grouped = rows.groupBy(*keys).agg(F.collect_list(F.when(F.col("month").isNotNull(), entry)).alias("_seen"))
+    kinds = {b: rows.schema[b].dataType for b in bands}
+    absent = F.transform(F.array_except(F.sequence(F.lit(1), F.lit(12)), F.col("_seen.month")),
+                         lambda m: F.struct(m.alias("month"), *[F.lit(None).cast(kinds[b]).alias(b) for b in bands]))
+    return grouped.select(*keys, F.inline(F.concat("_seen", absent)))
 
 
 def on_spine(pixels: DataFrame, composite: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
@@ -63,7 +63,8 @@ def union_sensors(s2: DataFrame, s1: DataFrame, keys: list[str], bands: list[str
 
 def stack_wide(cube: DataFrame, keys: list[str], bands: list[str] = BANDS) -> DataFrame:
     """Month-major wide form ``M01_<band> ... M12_<band>``, one row per pixel."""
-    grouped = month_map(cube, keys, bands)
+    entries = F.collect_list(F.struct(F.col("month"), F.struct(*bands)))
+    grouped = cube.groupBy(*keys).agg(F.map_from_entries(entries).alias("_months"))
     return grouped.select(*keys, *[F.try_element_at("_months", F.lit(m)).getField(b).alias(wide_name(m, b))
                                    for m in MONTHS for b in bands])
 

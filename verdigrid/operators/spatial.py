@@ -128,10 +128,9 @@ def iou_join(edges: DataFrame, poly_keys: list[str], footprints: DataFrame, rast
     chunked = edges.select(*poly_keys, *EDGE).join(split, poly_keys, "left").withColumn("_chunk", chunk)
     common = (pairs.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks.cast("bigint") - 1)))
               .join(chunked.drop("_chunks"), [*poly_keys, "_chunk"]))
-    term = geo.clipped_area_term([F.col(c) for c in EDGE], [F.col(c) for c in box])
     box_area = (F.col("bx1") - F.col("bx0")) * (F.col("by1") - F.col("by0"))
-    shared = (common.groupBy(*poly_keys, *[k for k in raster_keys if k not in poly_keys])
-              .agg(F.abs(F.coalesce(F.sum(term), F.lit(0.0))).alias("inter_area"),
+    shared = (geo.clipped_area_terms(common, EDGE, box, "_term").groupBy(*poly_keys, *[k for k in raster_keys if k not in poly_keys])
+              .agg(F.abs(F.coalesce(F.sum("_term"), F.lit(0.0))).alias("inter_area"),
                    F.first("poly_area").alias("poly_area"), F.first(box_area).alias("box_area")))
     union = F.col("poly_area") + F.col("box_area") - F.col("inter_area")
     iou = F.coalesce(F.try_divide(F.col("inter_area"), union), F.lit(0.0))

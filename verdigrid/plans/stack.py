@@ -47,7 +47,7 @@ def build_cube(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str],
     seen = composite.union_sensors(composite.with_season(optical, "ts", start_month, start_day),
                                    composite.with_season(radar, "ts", start_month, start_day), keys, bands)
     on = [*keys, "season_year"]
-    cold, hot = split_hot(seen, [*on, "month"], hot_rows)
+    cold, hot = split_hot(seen, keys, hot_rows)
     years = F.sequence(F.lit(first_year), F.lit(last_year))
     cells = pixels.select(*keys).withColumn("season_year", F.explode(years))
     medians = bounded_median(cells.join(cold, on, "left"), [*on, "month"], bands)

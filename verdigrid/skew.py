@@ -32,12 +32,14 @@ def split_hot(df: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS) -
     if hot_rows is None:
         return df, None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = materialise(counts.filter(F.col("_n") > hot_rows).select(*keys))
-    n_hot = hot.count()
-    if n_hot == 0:
+    large = counts.filter(F.col("_n") > hot_rows).select(*keys)
+    found = large.limit(BROADCAST_ROWS + 1).collect()
+    if not found:
         return df, None
-    if n_hot <= BROADCAST_ROWS:
-        hot = F.broadcast(hot)
+    if len(found) <= BROADCAST_ROWS:
+        hot = F.broadcast(df.sparkSession.createDataFrame(found, large.schema))
+    else:
+        hot = materialise(large)
     return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
 
 
@@ -81,10 +83,10 @@ def bounded_median(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame
     groups = df.groupBy(*keys).agg(F.collect_list(F.struct(*cols)).alias("_rows"), *counts)
 
     def median(c: str) -> Column:
-        # descending order puts NULL last
-        ordered, n = F.sort_array(F.col(f"_rows.{c}"), False), F.col(f"_n_{c}")
+        # descending order puts NULL last; without any value the positions give NULL
+        ordered, n = F.sort_array(F.col(f"_rows.{c}"), False), F.col(f"_n_{c}").cast("int")
         middle = [F.get(ordered, F.floor((n - k) / 2).cast("int")) for k in (1, 0)]
-        return F.when(n > 0, middle[0] * 0.5 + middle[1] * 0.5).alias(c)
+        return (middle[0] * 0.5 + middle[1] * 0.5).alias(c)
 
     return groups.select(*keys, *[median(c) for c in cols])
 
@@ -93,11 +95,13 @@ def exact_median(df: DataFrame, keys: list[str], cols: list[str], hot_rows: int
                  place_by: list[str] | None = None) -> DataFrame:
     """Exact interpolated median of the non-NULL values of every column, one row per key.
 
-    The rows are shuffled once, by ``place_by`` (some of the keys), and later steps
-    on those columns reuse that. Medians gain nothing from map-side buffers.
+    The rows are shuffled once, by ``place_by`` (some of the keys, such as the pixel),
+    and later steps on those columns reuse that; ``hot_rows`` bounds the rows per
+    place. Medians gain nothing from map-side buffers.
     """
-    cold, hot = split_hot(df, keys, hot_rows)
-    medians = bounded_median(cold.repartition(*(place_by or keys)), keys, cols)
+    place_by = place_by or keys
+    cold, hot = split_hot(df, place_by, hot_rows)
+    medians = bounded_median(cold.repartition(*place_by), keys, cols)
     return medians if hot is None else medians.unionByName(median_of_hot(hot, keys, cols))
 
 
