@@ -1,0 +1,105 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from verdigrid.bands import BANDS
+from verdigrid.operators import pairing
+from verdigrid.plans import inference, pipeline
+from verdigrid.scoring.weights import sine_weights
+from verdigrid.sources import sinks, tables
+
+KEYS = ["roi", "season_year", "idx"]
+
+
+def files(spark, rows):
+    return spark.createDataFrame(rows, "roi STRING, season_year INT, path STRING")
+
+
+@pytest.fixture(scope="module")
+def run(spark):
+    runs = spark.createDataFrame([("a", 2018), ("a", 2016), ("b", 2018), ("empty", 2018)], "roi STRING, season_year INT")
+    inputs = files(spark, [(r, y, f"/in/{r}/season{y}_feat{i}.tif") for r, y in (("a", 2018), ("a", 2016), ("b", 2018)) for i in (0, 1)]
+                   + [("a", 2018, "/in/a/old_feat1.tif"), ("b", 2018, "/in/b/season2018_feat7.tif")])
+    masks = files(spark, [("a", 2018, "/m/poly_1.tif"), ("a", 2016, "/m/poly_1.tif"), ("b", 2018, "/m/poly_5.tif")])
+    images = [(r, y, i) for r, y in (("a", 2018), ("a", 2016), ("b", 2018)) for i in (0, 1)]
+    cells = spark.createDataFrame([(*k, row, col, 50.0 - row, 20.0 + col) for k in images for row in range(2) for col in range(3)],
+                                  "roi STRING, season_year INT, idx BIGINT, grid_row BIGINT, grid_col BIGINT, lat DOUBLE, lon DOUBLE")
+    cube = (cells.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12)))).select(
+        *KEYS, "grid_row", "grid_col", "month", *[(F.col("month") * (i + 1) / 100 + F.col("grid_col") / 7).alias(b) for i, b in enumerate(BANDS)])
+        .withColumn("vv", F.when(F.col("month") % 3 > 0, F.col("vv"))))
+    classes = cells.select(*KEYS, "grid_row", "grid_col", F.when(F.col("grid_col") == 1, 4).otherwise(2).alias("cls"))
+    weights = sine_weights(inference.model_shapes(2))
+    return pipeline.run_pipeline(runs, inputs, masks, cells, cube, classes, weights, 2, BANDS)
+
+
+def test_audit(run):
+    rows = {(r["roi"], r["year"], r["idx"]): r for r in run[1].collect()}
+    assert set(rows) == {("a", 2018, 1), ("a", 2016, 0), ("a", 2016, 1), ("b", 2018, 0), ("b", 2018, 1), ("b", 2018, 7), ("empty", 2018, -1)}
+    cropped = rows[("a", 2018, 1)]
+    assert cropped["mask_mode"] == pairing.CROPPED and not cropped["inference_on_full_input"] and cropped["error"] is None
+    assert cropped["input_path"] == "/in/a/season2018_feat1.tif" and cropped["nonfinite_pct"] == pytest.approx(100 / 3 / 14)
+    early = rows[("a", 2016, 0)]
+    assert early["mask_mode"] == pairing.SYNTHETIC and early["landuse_failed"] and "2016" in early["error"]
+    assert "no matching" in rows[("b", 2018, 0)]["error"]
+    assert rows[("b", 2018, 7)]["error"] == "no pixel rows for input" and rows[("b", 2018, 7)]["nonfinite_pct"] is None
+    assert rows[("empty", 2018, -1)]["landuse_failed"] and rows[("empty", 2018, -1)]["mask_mode"] is None
+
+
+def test_labels(run):
+    got = {(r["roi"], r["season_year"], r["idx"], r["grid_row"], r["grid_col"]): r["label"] for r in run[0].collect()}
+    assert len(got) == 5 * 6
+    for (roi, year, _, _, col), label in got.items():
+        scored = (roi, year) != ("a", 2018) or col == 1
+        assert label in (1, 2) if scored else label == 0
+
+
+def test_sinks(spark, run, tmp_path):
+    predictions = run[0].drop("nan_input")
+    headers = predictions.select(*KEYS).distinct().withColumns({"width": F.lit(3), "height": F.lit(2)})
+    sinks.write_predictions(predictions, headers, str(tmp_path / "out"))
+    again = spark.read.parquet(str(tmp_path / "out" / "labels"))
+    assert again.count() == 30 and set(KEYS) <= set(again.columns)
+    for wrong in (headers.withColumn("width", F.lit(4)), headers.withColumns({"width": F.lit(2), "height": F.lit(3)})):
+        with pytest.raises(ValueError, match="does not fit"):
+            sinks.write_predictions(predictions, wrong, str(tmp_path / "bad"))
+    for _ in range(2):
+        sinks.append_audit(run[1], str(tmp_path / "audit"))
+    assert sinks.read_audit(spark, str(tmp_path / "audit")).count() == 14
+
+
+def test_no_common_index_gives_synthetic_masks(spark):
+    inputs = spark.createDataFrame([("/a_1.tif",), ("/a_2.tif",)], "path STRING")
+    masks = spark.createDataFrame([("/m_3.tif",)], "path STRING")
+    assert {r["mask_mode"] for r in pairing.pair_or_synthetic(inputs.withColumn("run", F.lit(1)), masks.withColumn("run", F.lit(1)), ["run"]).collect()} == {pairing.SYNTHETIC}
+    assert pairing.pair_by_idx(inputs, masks, []).count() == 0
+    assert pairing.common_indices(inputs, masks).count() == 0
+
+
+FEATURES = [{"type": "Feature", "properties": {"name": f"f{i}"}, "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i + 1, 0], [i + 1, 1], [i, 0]]]}}
+            for i in range(40)] + [{"type": "Feature", "properties": {"name": "none"}, "geometry": None}]
+
+
+def test_rois_per_line(spark, tmp_path):
+    folder = tmp_path / "rois"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text("\n".join(json.dumps(f) for f in FEATURES[:15]))
+    (folder / "b.jsonl").write_text("\n".join(json.dumps(f) for f in FEATURES[15:]))
+    rows = tables.load_rois(spark, str(folder)).orderBy("feat_idx").collect()
+    assert [r["feat_idx"] for r in rows] == list(range(41))
+    assert [r["props"]["name"] for r in rows] == [f["properties"]["name"] for f in FEATURES]
+    assert rows[3]["rings"][0][1]["x"] == 4.0 and rows[40]["rings"] is None
+
+
+def test_rois_of_a_collection(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps({"type": "FeatureCollection", "features": FEATURES}))
+    rows = tables.load_rois(spark, str(tmp_path / "c.json"), per_line=False).collect()
+    assert {(r["feat_idx"], r["props"]["name"]) for r in rows} == {(i, f["properties"]["name"]) for i, f in enumerate(FEATURES)}
+
+
+def test_list_rasters(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    for name in ("b.tif", "a.TIFF", "c.txt", "sub/d.Tif"):
+        (tmp_path / name).write_bytes(b"x")
+    listed = [r["path"] for r in tables.list_rasters(spark, str(tmp_path)).collect()]
+    assert [p.rsplit("/", 1)[1] for p in listed] == ["a.TIFF", "b.tif", "d.Tif"]

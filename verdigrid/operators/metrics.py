@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from verdigrid.functions.arrays import log_sum_exp
+from verdigrid.session import materialise
 
 
 def _label_pairs(df: DataFrame, labels: list[int]) -> DataFrame:
@@ -18,15 +19,27 @@ def _label_pairs(df: DataFrame, labels: list[int]) -> DataFrame:
             .withColumn("pred", F.explode(listed)))
 
 
+def pair_counts(scored: DataFrame) -> DataFrame:
+    """Rows per (label, pred): all that the metrics need."""
+    return scored.groupBy("label", "pred").agg(F.count(F.lit(1)).alias("n"))
+
+
 def accuracy(scored: DataFrame) -> DataFrame:
-    hit = F.coalesce(F.avg((F.col("pred") == F.col("label")).cast("double")), F.lit(0.0))
-    return scored.agg(hit.alias("accuracy"))
+    return accuracy_of_counts(pair_counts(scored))
+
+
+def accuracy_of_counts(counts: DataFrame) -> DataFrame:
+    hits = F.sum(F.when(F.col("pred") == F.col("label"), F.col("n")).otherwise(0)).cast("double")
+    return counts.agg(F.coalesce(F.try_divide(hits, F.sum("n")), F.lit(0.0)).alias("accuracy"))
 
 
 def confusion_matrix(scored: DataFrame, labels: list[int]) -> DataFrame:
     """Count of every (label, pred) cell of the label list, zeros included."""
-    counts = scored.groupBy("label", "pred").agg(F.count(F.lit(1)).alias("n"))
-    return (_label_pairs(scored, labels).join(counts, ["label", "pred"], "left")
+    return matrix_of_counts(pair_counts(scored), labels)
+
+
+def matrix_of_counts(counts: DataFrame, labels: list[int]) -> DataFrame:
+    return (_label_pairs(counts, labels).join(counts, ["label", "pred"], "left")
             .select("label", "pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
@@ -66,9 +79,13 @@ def classification_report(matrix: DataFrame, names: dict[int, str] | None = None
 
 
 def evaluate(scored: DataFrame, labels: list[int], names: dict[int, str] | None = None) -> dict[str, DataFrame]:
-    """Accuracy, report and confusion matrix as three tables; cells outside of the label list count as wrong."""
-    matrix = confusion_matrix(scored, labels)
-    return {"accuracy": accuracy(scored), "report": classification_report(matrix, names), "confusion": matrix}
+    """Accuracy, report and confusion matrix as three tables, from one pass over the scored rows.
+
+    The accuracy is over all rows, the other two over the labels of the list.
+    """
+    counts = materialise(pair_counts(scored))
+    matrix = matrix_of_counts(counts, labels)
+    return {"accuracy": accuracy_of_counts(counts), "report": classification_report(matrix, names), "confusion": matrix}
 
 
 def class_weights(rows: DataFrame, weight: str | dict[int, float], label: str = "label") -> DataFrame:

@@ -7,10 +7,14 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from verdigrid.bands import CROPLAND_CLASS
 from verdigrid.operators import composite, pairing
+from verdigrid.operators.grid import CELL
 from verdigrid.plans.crop import FIRST_LANDCOVER_YEAR, LAST_LANDCOVER_YEAR
 from verdigrid.plans.inference import infer_image
-from verdigrid.sources.sinks import AUDIT_SCHEMA
+from verdigrid.session import materialise
+from verdigrid.skew import checked_broadcast
+from verdigrid.sources.sinks import AUDIT_FIELDS
 
 RUN = ["roi", "season_year"]
 
@@ -58,9 +62,8 @@ def audit_rows(images: DataFrame, quality: DataFrame, runs: DataFrame, landuse_m
     missing = runs.join(images.select(*RUN), RUN, "left_anti")
     fatal = {"timestamp": F.current_timestamp(), "roi": F.col("roi"), "year": F.col("season_year"), "idx": F.lit(-1),
              "landuse_method": F.lit(landuse_method), "landuse_failed": F.lit(True), "error": F.lit("no input rasters")}
-    fields = [f.strip().split(" ") for f in AUDIT_SCHEMA.split(",")]
-    dead = missing.select(*[fatal.get(n, F.lit(None)).cast(t).alias(n) for n, t in fields])
-    return done.select(*[F.col(n).cast(t).alias(n) for n, t in fields]).unionByName(dead)
+    dead = missing.select(*[fatal.get(n, F.lit(None)).cast(t).alias(n) for n, t in AUDIT_FIELDS])
+    return done.select(*[F.col(n).cast(t).alias(n) for n, t in AUDIT_FIELDS]).unionByName(dead)
 
 
 def run_pipeline(runs: DataFrame, inputs: DataFrame, masks: DataFrame, cells: DataFrame, cube: DataFrame,
@@ -75,16 +78,17 @@ def run_pipeline(runs: DataFrame, inputs: DataFrame, masks: DataFrame, cells: Da
     An image that has no monthly rows gets an error and no labels; others go on.
     """
     keys = [*RUN, "idx"]
-    images = choose_masks(runs, inputs, masks, landuse_method == "ESRI")
-    quality = composite.nonfinite_pct(cube, keys, bands)
+    # two tables with one row per image, each used several times
+    images = materialise(choose_masks(runs, inputs, masks, landuse_method == "ESRI"))
+    quality = materialise(composite.nonfinite_pct(cube, keys, bands))
     known = images.join(quality.select(*keys), keys, "left_semi")
     errors = (images.join(quality.select(*keys), keys, "left_anti")
               .select(*keys, F.lit("no pixel rows for input").alias("error")))
-    mode = known.select(*keys, "mask_mode")
-    aligned = classes_of.select(*keys, "grid_row", "grid_col", "cls")
-    grid_cells = cells.select(*keys, "grid_row", "grid_col", "lat", "lon").join(mode, keys)
+    # an image may have any number of pixels, so its cells are not gathered by image
+    grid_cells = (cells.select(*keys, *CELL, "lat", "lon")
+                  .join(checked_broadcast(known.select(*keys, "mask_mode")), keys))
     whole = F.col("mask_mode") != pairing.CROPPED
-    mask = (grid_cells.join(aligned, [*keys, "grid_row", "grid_col"], "left")
-            .withColumn("cls", F.when(whole, 4).otherwise(F.coalesce("cls", F.lit(0)))))
+    mask = (grid_cells.join(classes_of.select(*keys, *CELL, "cls"), [*keys, *CELL], "left")
+            .withColumn("cls", F.when(whole, CROPLAND_CLASS).otherwise(F.coalesce("cls", F.lit(0)))))
     predictions = infer(cube, grid_cells.drop("mask_mode"), keys, weights, n_classes, mask, tile_size)
     return predictions, audit_rows(images, quality, runs, landuse_method, errors)
