@@ -137,6 +137,18 @@ def _(spark, sf):
                        calendar.bin_start(y, m).cast("string").alias("bin_start"), calendar.bin_end(y, m).cast("string").alias("bin_end"))
 
 
+@check("bin_start", f"SELECT o_orderkey, CAST({_FIRST} AS VARCHAR) AS bin_start FROM orders")
+def _(spark, sf):
+    first = calendar.bin_start(F.year("o_orderdate"), (F.col("o_custkey") % 12 + 1).cast("int"))
+    return table(spark, sf, "orders").select("o_orderkey", first.cast("string").alias("bin_start"))
+
+
+@check("bin_end", f"SELECT o_orderkey, CAST(CAST({_FIRST} + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS bin_end FROM orders")
+def _(spark, sf):
+    last = calendar.bin_end(F.year("o_orderdate"), (F.col("o_custkey") % 12 + 1).cast("int"))
+    return table(spark, sf, "orders").select("o_orderkey", last.cast("string").alias("bin_end"))
+
+
 @check("ndvi", duck("SELECT l_orderkey, l_linenumber, round(" + NDVI_SQL.format(n="n", r="r") + """, 9) AS ndvi FROM
  (SELECT *, CASE WHEN l_linenumber=2 THEN CAST(0 AS DOUBLE) WHEN isfinite(nir) THEN nir END AS n,
   CASE WHEN l_linenumber=2 THEN CAST(0 AS DOUBLE) WHEN isfinite(red) THEN red END AS r FROM v_raw)""", "v_raw"))
@@ -322,6 +334,23 @@ def _(spark, sf):
         *[F.round(F.element_at(p, i + 1), 9).alias(f"p{i}") for i in range(5)], arrays.argmax(z).alias("top"))
 
 
+@check("sigmoid", f"SELECT vec_id, round(1/(1+exp(-{_Z[0]})), 9) AS p, CAST(1/(1+exp(-{_Z[0]})) >= 0.5 AS INT) AS label FROM embeddings")
+def _(spark, sf):
+    first = F.element_at("embedding", 1).cast("double")
+    return table(spark, sf, "embeddings").select("vec_id", F.round(arrays.sigmoid(first), 9).alias("p"), arrays.binary_label(first).alias("label"))
+
+
+@check("softmax", f"SELECT vec_id, {', '.join(f'round(exp({z} - {_MAX})/({_SUM}), 9) AS p{i}' for i, z in enumerate(_Z))} FROM embeddings")
+def _(spark, sf):
+    p = arrays.softmax(F.slice(F.col("embedding").cast("array<double>"), 1, 5))
+    return table(spark, sf, "embeddings").select("vec_id", *[F.round(F.element_at(p, i + 1), 9).alias(f"p{i}") for i in range(5)])
+
+
+@check("argmax", "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INT) AS top FROM embeddings")
+def _(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", arrays.argmax(F.col("embedding")).alias("top"))
+
+
 _GROUP_SQL = "SELECT * FROM (VALUES (2, 'red', 'S2_RGB', true), (9, 'red_edge4', 'S2_NIR_20m', true), (1, 'vh', 'S1', true)) t(channel, band, band_group, available)"
 
 

@@ -13,10 +13,10 @@ from checks.tiling import IMAGE, cells, headers
 from checks.views import SEASONS, duck, s1, table, view
 from verdigrid.bands import BANDS
 from verdigrid.operators import grid, metrics
-from verdigrid.plans import inference, pipeline, stack
+from verdigrid.plans import inference, runs as season_runs, stack
 from verdigrid.scoring import model
 from verdigrid.scoring.weights import head_shapes, load_weights, save_weights, sine_weights
-from verdigrid.session import scratch_path
+from verdigrid.session import materialise, scratch_path
 from verdigrid.sources import sinks, tables
 
 CLASSES, SIZE = 10, 64
@@ -110,6 +110,26 @@ def _(spark, sf):
     return model.apply_fitted(fitted, rows).select("vec_id", "pred").join(again, "vec_id").join(mlp, "vec_id")
 
 
+@check("save_model")
+def _(spark, sf):
+    """Stages of a logistic head as written to files, and the number of its coefficients."""
+    rows = table(spark, sf, "embeddings")
+    path = scratch_path(spark, "head")
+    model.save_model(model.fit_head(rows, iterations=20), path)
+    stage = spark.read.parquet(f"{path}/stages/0_*/data")
+    return stage.select("numClasses", "numFeatures")
+
+
+@check("load_model")
+def _(spark, sf):
+    """Labels and probabilities of a head read back from files."""
+    rows = table(spark, sf, "embeddings")
+    path = scratch_path(spark, "head")
+    model.save_model(model.fit_head(rows, iterations=20), path)
+    scored = model.apply_fitted(model.load_model(path), rows)
+    return scored.select("vec_id", "pred", *columns("proba", "p", CLASSES))
+
+
 def image_cells(spark, sf):
     return grid.scan_raster(cells(spark, sf), headers(spark, sf), IMAGE)
 
@@ -127,14 +147,14 @@ def _(spark, sf):
     return inference.infer_image(image_cube(spark, sf), image_cells(spark, sf), IMAGE, weights, 2, cells(spark, sf), tile_size=16)
 
 
-@check("run_pipeline")
+@check("run_season_images")
 def _(spark, sf):
     """Label counts per image and mask mode of all runs, from pairing to the audit."""
     runs, inputs, masks = run_tables(spark, sf)
     weights = sine_weights(inference.model_shapes(2))
     season_cells = sinks.feature_seasons(image_cells(spark, sf), *RUNS)
-    season_cube = sinks.feature_seasons(image_cube(spark, sf), *RUNS)
-    predictions, rows = pipeline.run_pipeline(runs, inputs, masks, season_cells, season_cube, sinks.feature_seasons(cells(spark, sf), *RUNS),
-                                              weights, 2, BANDS)
+    season_cube = sinks.feature_seasons(materialise(image_cube(spark, sf)), *RUNS)
+    predictions, rows = season_runs.run_images(runs, inputs, masks, season_cells, season_cube, sinks.feature_seasons(cells(spark, sf), *RUNS),
+                                               weights, 2, BANDS)
     counts = predictions.groupBy("roi", F.col("season_year").alias("year"), "idx", "label").agg(F.count(F.lit(1)).alias("n"))
     return rows.drop("timestamp").join(counts, ["roi", "year", "idx"], "left")

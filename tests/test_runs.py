@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from verdigrid.bands import BANDS
 from verdigrid.operators import pairing
-from verdigrid.plans import inference, pipeline
+from verdigrid.plans import inference, runs as season_runs
 from verdigrid.scoring.weights import sine_weights
 from verdigrid.sources import sinks, tables
 
@@ -30,7 +30,7 @@ def run(spark):
         .withColumn("vv", F.when(F.col("month") % 3 > 0, F.col("vv"))))
     classes = cells.select(*KEYS, "grid_row", "grid_col", F.when(F.col("grid_col") == 1, 4).otherwise(2).alias("cls"))
     weights = sine_weights(inference.model_shapes(2))
-    return pipeline.run_pipeline(runs, inputs, masks, cells, cube, classes, weights, 2, BANDS)
+    return season_runs.run_images(runs, inputs, masks, cells, cube, classes, weights, 2, BANDS)
 
 
 def test_audit(run):

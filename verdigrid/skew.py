@@ -18,7 +18,10 @@ BROADCAST_ROWS = 100_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise a narrow table and mark it for broadcast if it is small enough; else a plain join follows."""
+    """Materialise a narrow table and mark it for broadcast if it is small enough.
+
+    A larger one is joined by shuffle, where adaptive execution splits skewed keys.
+    """
     small = materialise(df)
     return F.broadcast(small) if small.count() <= max_rows else small
 
