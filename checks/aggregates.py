@@ -13,6 +13,15 @@ from verdigrid.operators import composite, features, gapfill, metrics, pairing,
 from verdigrid.plans import stack
 from verdigrid.sources import tables
 
+def sql32(expr: str) -> str:
+    return f"CAST(CAST({expr} AS FLOAT) AS DOUBLE)"
+
+
+def f32(df, cols):
+    """Single precision: the last bits of the engines' arithmetic do not matter, and whole binary fractions stay as they are."""
+    return df.withColumns({c: F.col(c).cast("float").cast("double") for c in cols})
+
+
 KEY = ["pixel_id"]
 MONTH, YEAR = MONTH_SQL.format(d="ts"), YEAR_SQL.format(d="ts")
 CLEAR = "(qa60 & 1024) = 0 AND (qa60 & 2048) = 0"
@@ -42,9 +51,9 @@ def _(spark, sf):
     return stack.optical_composite(tables.rename_bands(view(spark, sf, "v_s2")), KEY)
 
 
-@check("monthly_median_s1", duck("SELECT pixel_id, season_year, month, round(vv, 9) AS vv, round(vh, 9) AS vh FROM s1m", "v_s1", s1m=S1_MED))
+@check("monthly_median_s1", duck("SELECT pixel_id, season_year, month, " + ", ".join(f"{sql32(b)} AS {b}" for b in S1_BANDS) + " FROM s1m", "v_s1", s1m=S1_MED))
 def _(spark, sf):
-    return r9(stack.radar_composite(s1(spark, sf), KEY), S1_BANDS)
+    return f32(stack.radar_composite(s1(spark, sf), KEY), S1_BANDS)
 
 
 @check("month_spine", duck(f"SELECT s.pixel_id, s.season_year, s.month, red, nir FROM spine s LEFT JOIN s2m USING (pixel_id, season_year, month)",
@@ -56,19 +65,19 @@ def _(spark, sf):
 
 
 @check("stack_168", duck_cube("SELECT pixel_id, season_year, " + ", ".join(
-    f"max(CASE WHEN month={m} THEN {b if b in S2_BANDS else f'round({b}, 9)'} END) AS {wide_name(m, b)}" for m in MONTHS for b in BANDS)
+    f"max(CASE WHEN month={m} THEN {b if b in S2_BANDS else sql32(b)} END) AS {wide_name(m, b)}" for m in MONTHS for b in BANDS)
     + " FROM cube GROUP BY pixel_id, season_year"))
 def _(spark, sf):
-    return composite.stack_wide(r9(cube(spark, sf), S1_BANDS), [*KEY, "season_year"])
+    return composite.stack_wide(f32(cube(spark, sf), S1_BANDS), [*KEY, "season_year"])
 
 
-@check("build_stack", duck_cube("SELECT pixel_id, season_year, month, band, round(value, 9) AS value FROM (UNPIVOT cube ON "
+@check("build_stack", duck_cube("SELECT pixel_id, season_year, month, band, " + sql32("value") + " AS value FROM (UNPIVOT cube ON "
                                 + ", ".join(BANDS) + " INTO NAME band VALUE value)"))
 def _(spark, sf):
     pixels = view(spark, sf, "v_mask")
     wide = stack.build_stack(tables.rename_bands(view(spark, sf, "v_s2")), s1(spark, sf), pixels, KEY, *SEASONS)
     long = composite.unstack(wide, [*KEY, "season_year"])
-    return r9(long.unpivot([*KEY, "season_year", "month"], BANDS, "band", "value").filter("value IS NOT NULL"), ["value"])
+    return f32(long.unpivot([*KEY, "season_year", "month"], BANDS, "band", "value").filter("value IS NOT NULL"), ["value"])
 
 
 def wide_lineitem(spark, sf):
@@ -116,16 +125,16 @@ def duck_fill(select: str) -> str:
     return duck_cube(f"SELECT pixel_id, season_year, month, {select} FROM cube")
 
 
-@check("ffill", duck_fill(", ".join(f"round(last_value({b} IGNORE NULLS) OVER (PARTITION BY pixel_id, season_year ORDER BY month ROWS UNBOUNDED PRECEDING), 9) AS {b}" for b in _FILL)))
+@check("ffill", duck_fill(", ".join(f"{sql32(f'last_value({b} IGNORE NULLS) OVER (PARTITION BY pixel_id, season_year ORDER BY month ROWS UNBOUNDED PRECEDING)')} AS {b}" for b in _FILL)))
 def _(spark, sf):
     rows = cube(spark, sf).select("pixel_id", "season_year", "month", *_FILL)
-    return r9(gapfill.ffill(rows, ["pixel_id", "season_year"], _FILL), _FILL)
+    return f32(gapfill.ffill(rows, ["pixel_id", "season_year"], _FILL), _FILL)
 
 
-@check("bfill", duck_fill(", ".join(f"round(first_value({b} IGNORE NULLS) OVER (PARTITION BY pixel_id, season_year ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 9) AS {b}" for b in _FILL)))
+@check("bfill", duck_fill(", ".join(f"{sql32(f'first_value({b} IGNORE NULLS) OVER (PARTITION BY pixel_id, season_year ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)')} AS {b}" for b in _FILL)))
 def _(spark, sf):
     rows = cube(spark, sf).select("pixel_id", "season_year", "month", *_FILL)
-    return r9(gapfill.bfill(rows, ["pixel_id", "season_year"], _FILL), _FILL)
+    return f32(gapfill.bfill(rows, ["pixel_id", "season_year"], _FILL), _FILL)
 
 
 def fill_sql(b: str) -> str:
@@ -141,12 +150,12 @@ def filled_sql(b: str) -> str:
             f"ELSE {b}_lv + (month - {b}_lt)/({b}_rt - {b}_lt)*({b}_rv - {b}_lv) END")
 
 
-@check("interpolate_temporal", duck_cube(f"SELECT pixel_id, season_year, month, {', '.join(f'round({filled_sql(b)}, 9) AS {b}' for b in _FILL)} FROM w",
+@check("interpolate_temporal", duck_cube(f"SELECT pixel_id, season_year, month, {', '.join(f'{sql32(filled_sql(b))} AS {b}' for b in _FILL)} FROM w",
                                          w=f"SELECT pixel_id, season_year, month, {', '.join(fill_sql(b) for b in _FILL)} FROM cube"))
 def _(spark, sf):
     rows = cube(spark, sf).select("pixel_id", "season_year", "month", *_FILL)
     done = gapfill.interpolate_temporal(rows, ["pixel_id", "season_year"], _FILL)
-    return done.withColumns({b: F.round(b, 9) for b in _FILL})
+    return f32(done, _FILL)
 
 
 @check("valid_span", duck_cube("SELECT pixel_id, season_year, min(CASE WHEN red IS NOT NULL THEN month END) AS first_valid, max(CASE WHEN red IS NOT NULL THEN month END) AS last_valid FROM cube GROUP BY ALL"))
@@ -157,14 +166,15 @@ def _(spark, sf):
 _SERIES = [*[b for b in BAND_LIST if b not in ("coastal", "water_vapor")], "ndvi"]
 
 
-@check("build_features", duck_cube(f"SELECT pixel_id, season_year, month, CAST(0 AS DOUBLE) AS era5_0, {', '.join(f'round({filled_sql(b)}, 9) AS {b}' for b in _SERIES)} FROM w",
+@check("build_features", duck_cube(f"SELECT pixel_id, season_year, month, CAST(0 AS DOUBLE) AS era5_0, {', '.join(f'{sql32(filled_sql(b))} AS {b}' for b in _SERIES)} FROM w",
                                    c2=f"SELECT *, {NDVI_SQL.format(n='nir', r='red')} AS ndvi FROM cube",
                                    w=f"SELECT pixel_id, season_year, month, {', '.join(fill_sql(b) for b in _SERIES)} FROM c2"))
 def _(spark, sf):
     arrays = features.build_features(cube(spark, sf), ["pixel_id", "season_year"])
     rows = arrays.select("pixel_id", "season_year", F.posexplode("x").alias("_m", "_v"))
-    at = {c: F.round(F.element_at("_v", features.CHANNELS.index(c) + 1), 9).alias(c) for c in [*_SERIES, "era5_0"]}
-    return rows.select("pixel_id", "season_year", (F.col("_m") + 1).alias("month"), *at.values())
+    series = [*_SERIES, "era5_0"]
+    at = [F.element_at("_v", features.CHANNELS.index(c) + 1).alias(c) for c in series]
+    return f32(rows.select("pixel_id", "season_year", (F.col("_m") + 1).alias("month"), *at), series)
 
 
 LABELS = list(range(10))
