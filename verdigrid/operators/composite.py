@@ -56,8 +56,9 @@ def on_spine(pixels: DataFrame, composite: DataFrame, keys: list[str], bands: li
 def union_sensors(s2: DataFrame, s1: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
     """Observations of both sensors in one table (keys, season_year, month, bands); the other sensor's bands are NULL."""
     def shaped(obs: DataFrame) -> DataFrame:
-        return obs.select(*keys, "season_year", "month", *[
-            (F.col(b) if b in obs.columns else F.lit(None)).cast("double").alias(b) for b in bands])
+        have = set(obs.columns)
+        return obs.selectExpr(*[f"`{k}`" for k in keys], "season_year", "month", *[
+            f"CAST({f'`{b}`' if b in have else 'NULL'} AS DOUBLE) AS `{b}`" for b in bands])
     return shaped(s2).unionByName(shaped(s1))
 
 

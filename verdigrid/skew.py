@@ -82,16 +82,16 @@ def bounded_median(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame
     One list of rows per group is several times faster than one median buffer per
     column, and holds no more than the group's rows.
     """
-    counts = [F.count(c).alias(f"_n_{c}") for c in cols]
+    counts = [F.expr(f"count(`{c}`) AS `_n_{c}`") for c in cols]
     groups = df.groupBy(*keys).agg(F.collect_list(F.struct(*cols)).alias("_rows"), *counts)
 
-    def median(c: str) -> Column:
+    def median(c: str) -> str:
         # descending order puts NULL last; without any value the positions give NULL
-        ordered, n = F.sort_array(F.col(f"_rows.{c}"), False), F.col(f"_n_{c}").cast("int")
-        middle = [F.get(ordered, F.floor((n - k) / 2).cast("int")) for k in (1, 0)]
-        return (middle[0] * 0.5 + middle[1] * 0.5).alias(c)
+        ordered = f"sort_array(_rows.`{c}`, false)"
+        middle = [f"get({ordered}, CAST(floor((`_n_{c}` - {k}) / 2) AS INT)) * 0.5D" for k in (1, 0)]
+        return f"{middle[0]} + {middle[1]} AS `{c}`"
 
-    return groups.select(*keys, *[median(c) for c in cols])
+    return groups.selectExpr(*[f"`{k}`" for k in keys], *[median(c) for c in cols])
 
 
 def exact_median(df: DataFrame, keys: list[str], cols: list[str], hot_rows: int | None = HOT_ROWS,
