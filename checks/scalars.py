@@ -26,10 +26,10 @@ def _(spark, sf):
 
 
 @check("mask_qa60", duck("SELECT pixel_id, qa60, " + ", ".join(
-    f"round(CASE WHEN (qa60 & 1024) = 0 AND (qa60 & 2048) = 0 THEN {c} END, 9) AS {n}" for c, n in zip(CODES, S2_BANDS)) + " FROM v_s2", "v_s2"))
+    f"CASE WHEN (qa60 & 1024) = 0 AND (qa60 & 2048) = 0 THEN {c} END AS {n}" for c, n in zip(CODES, S2_BANDS)) + " FROM v_s2", "v_s2"))
 def _(spark, sf):
     named = tables.rename_bands(view(spark, sf, "v_s2"))
-    return r9(scenes.mask_qa(named).select("pixel_id", "qa60", *S2_BANDS), S2_BANDS)
+    return scenes.mask_qa(named).select("pixel_id", "qa60", *S2_BANDS)
 
 
 @check("filter_date_bin", duck("""SELECT pixel_id, CAST(ts AS VARCHAR) AS ts FROM v_s2 WHERE ts >= DATE '1996-11-01' AND ts < DATE '1996-12-01'""", "v_s2"))
@@ -52,11 +52,11 @@ def _(spark, sf):
 
 
 @check("rename_bands", duck("SELECT pixel_id, concat('M', lpad(CAST(" + MONTH_SQL.format(d="ts") + " AS VARCHAR), 2, '0'), '_red') AS red_name, "
-                            + ", ".join(f"round({c}, 9) AS {n}" for c, n in zip(CODES, S2_BANDS)) + " FROM v_s2", "v_s2"))
+                            + ", ".join(f"{c} AS {n}" for c, n in zip(CODES, S2_BANDS)) + " FROM v_s2", "v_s2"))
 def _(spark, sf):
     named = tables.rename_bands(view(spark, sf, "v_s2"))
     tag = names.tag_band(calendar.season_month(F.col("ts")), F.lit("red")).alias("red_name")
-    return r9(named.select("pixel_id", tag, *S2_BANDS), S2_BANDS)
+    return named.select("pixel_id", tag, *S2_BANDS)
 
 
 @check("strip_index_prefix", duck("""SELECT l_orderkey, l_linenumber, CASE WHEN contains(full_name, '_') THEN substr(full_name, strpos(full_name, '_') + 1) ELSE '' END AS name
@@ -93,7 +93,7 @@ NDVI_SQL = "CASE WHEN abs({n}+{r}) >= 1e-6 THEN greatest(-1.0, least(1.0, ({n}-{
 CHANNEL_SQL = ", ".join(
     f"round({NDVI_SQL.format(n=BANDS_SQL['nir'], r=BANDS_SQL['red'])}, 9) AS ndvi" if c == "ndvi"
     else f"CAST(0 AS DOUBLE) AS {c}" if c not in BAND_LIST
-    else f"round({dict(vv='-l_quantity/2', vh='-l_quantity/2 - l_tax*100', **BANDS_SQL).get(c)}, 9) AS {c}" for c in CHANNELS)
+    else f"{dict(vv='-l_quantity/2', vh='-l_quantity/2 - l_tax*100', **BANDS_SQL).get(c)} AS {c}" for c in CHANNELS)
 
 
 @check("select_channels", "SELECT l_partkey AS pixel_id, l_linenumber AS month, " + CHANNEL_SQL + " FROM lineitem")
@@ -101,7 +101,7 @@ def _(spark, sf):
     named = {n: F.expr(e) for n, e in {**BANDS_SQL, "vv": "-l_quantity/2", "vh": "-l_quantity/2 - l_tax*100"}.items()}
     cube = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("pixel_id"), F.col("l_linenumber").alias("month"),
                                                *[e.alias(n) for n, e in named.items()])
-    return r9(features.select_channels(cube, ["pixel_id"]), [c for c in CHANNELS if c in BAND_LIST or c == "ndvi"])
+    return r9(features.select_channels(cube, ["pixel_id"]), ["ndvi"])
 
 
 @check("static_channel_mask", """SELECT p_partkey AS pixel_id, CAST(c AS INT) AS channel, CAST(c BETWEEN 12 AND 15 AS INT) AS mask,

@@ -59,9 +59,9 @@ def band_of(name: Column) -> Column:
 
 def band_status(name: Column) -> Column:
     """'ok', or why a stacked band name cannot be placed in the (month, band) cube."""
-    return (F.when(band_month(name).isNull(), "bad_format")
-            .when(~band_month(name).between(1, 12), "bad_month_range")
-            .when(~band_of(name).isin(BANDS), "unknown_band")
+    return (F.when(~name.rlike(r"^M\d{2}_.+$"), "bad_format")
+            .when(~name.rlike(r"^M(0[1-9]|1[0-2])_"), "bad_month_range")
+            .when(~name.rlike(f"^M.._({'|'.join(BANDS)})$"), "unknown_band")
             .otherwise("ok"))
 
 

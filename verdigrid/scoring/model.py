@@ -6,16 +6,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+import verdigrid
 from verdigrid.bands import CHANNELS
 from verdigrid.functions import arrays
-from verdigrid.scoring import encoder
+from verdigrid.scoring.encoder import apply_head, in_chunks
 from verdigrid.scoring.weights import check_weights, encoder_shapes
 
+# the batch functions travel with the job, so workers need no installed copy of this package
+cloudpickle.register_pickle_by_value(verdigrid)
+
 BatchFn = Callable[[np.ndarray], np.ndarray]
 
 
@@ -65,7 +70,7 @@ def encode_pixels(features: DataFrame, weights: dict[str, np.ndarray], start_mon
         steps = len(lists.flatten()) // max(len(lists), 1)
         x = _matrix(lists, steps, len(CHANNELS))
         lat, lon = (column(c).to_numpy(zero_copy_only=False) for c in ("lat", "lon"))
-        return encoder.in_chunks(x, lat, lon, shared.value, start_month)
+        return in_chunks(x, lat, lon, shared.value, start_month)
 
     embedded = _append_lists(features, kept, "embedding", embed)
     return embedded.withColumn("nan_input", F.isnan(F.element_at("embedding", 1)))
@@ -85,7 +90,7 @@ def score_batches(df: DataFrame, fn: BatchFn, source: str = "embedding", name: s
 def score_head(df: DataFrame, weights: dict[str, np.ndarray], source: str = "embedding") -> DataFrame:
     """Logits of an MLP head."""
     shared = df.sparkSession.sparkContext.broadcast({n: w for n, w in weights.items() if n.startswith("head")})
-    return score_batches(df, lambda z: encoder.apply_head(z, shared.value), source)
+    return score_batches(df, lambda z: apply_head(z, shared.value), source)
 
 
 def score_linear(df: DataFrame, weights: list[list[float]], bias: list[float] | None = None,
