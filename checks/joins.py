@@ -78,7 +78,7 @@ def polygon_boxes(spark, sf):
 @check("roi_scene_bounds_join", duck("""SELECT raster_id, path FROM x WHERE EXISTS (SELECT 1 FROM b WHERE px0 <= bx1 AND bx0 <= px1 AND py0 <= by1 AND by0 <= py1)""",
                                      "v_tiles", "v_poly", "v_edges", b=_BOUNDS, x=_BOXES))
 def _(spark, sf):
-    met = spatial.scenes_meeting_rois(footprints(spark, sf), ["bx0", "by0", "bx1", "by1"], ["raster_id"], polygon_boxes(spark, sf),
+    met = spatial.scenes_meeting_rois(footprints(spark, sf), ["bx0", "by0", "bx1", "by1"], polygon_boxes(spark, sf),
                                       ["px0", "py0", "px1", "py1"], 8.0)
     return met.select("raster_id", "path")
 

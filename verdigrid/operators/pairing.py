@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from verdigrid.functions import names
+from verdigrid.skew import checked_broadcast
 
 SYNTHETIC = "synthetic_all4"
 CROPPED = "esri_cropped"
@@ -47,11 +48,11 @@ def pair_or_synthetic(inputs: DataFrame, masks: DataFrame, keys: list[str],
     left = latest_per_idx(inputs, keys).withColumnRenamed("path", "input_path")
     right = latest_per_idx(masks, keys).withColumnRenamed("path", "mask_path")
     if failed is not None:
-        right = right.join(failed.select(*keys), keys, "left_anti")
+        right = right.join(checked_broadcast(failed.select(*keys)), keys, "left_anti")
     joined = left.join(right, [*keys, "idx"], "left")
-    # pre-aggregated to one row per run, so no run is gathered in one task
+    # one row per run, pre-aggregated and then sent to the files, so no run is gathered in one task
     runs = joined.groupBy(*keys).agg(F.bool_or(F.col("mask_path").isNotNull()).alias("_any"))
-    return (joined.join(runs, keys).filter(F.col("mask_path").isNotNull() | ~F.col("_any"))
+    return (joined.join(checked_broadcast(runs), keys).filter(F.col("mask_path").isNotNull() | ~F.col("_any"))
             .withColumn("mask_mode", F.when(F.col("_any"), CROPPED).otherwise(SYNTHETIC)).drop("_any"))
 
 

@@ -100,12 +100,14 @@ def box_overlap_join(left: DataFrame, left_box: list[str], right: DataFrame, rig
     return pairs.filter(meet & home).drop("_cx", "_cy")
 
 
-def scenes_meeting_rois(scenes: DataFrame, scene_box: list[str], scene_keys: list[str],
-                        rois: DataFrame, roi_box: list[str], cell: float) -> DataFrame:
-    """Scenes whose footprint meets the box of any region."""
-    keyed = scenes.select(*scene_keys, *scene_box)
-    met = box_overlap_join(keyed, scene_box, rois.select(*roi_box), roi_box, cell).select(*scene_keys).distinct()
-    return scenes.join(met, scene_keys, "left_semi")
+def scenes_meeting_rois(scenes: DataFrame, scene_box: list[str], rois: DataFrame, roi_box: list[str],
+                        cell: float) -> DataFrame:
+    """Scenes whose footprint meets the box of any region.
+
+    Footprints repeat from visit to visit, so each different one is looked up once.
+    """
+    met = box_overlap_join(scenes.select(*scene_box).distinct(), scene_box, rois.select(*roi_box).distinct(), roi_box, cell)
+    return scenes.join(checked_broadcast(met.select(*scene_box).distinct()), scene_box, "left_semi")
 
 
 def iou_join(edges: DataFrame, poly_keys: list[str], footprints: DataFrame, raster_keys: list[str],

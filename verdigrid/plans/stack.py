@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from verdigrid.bands import BANDS, MAX_CLOUD_PCT, S1_BANDS, S2_BANDS, SEASON_START_MONTH
 from verdigrid.functions.calendar import season_bounds
 from verdigrid.operators import composite, scenes
-from verdigrid.skew import HOT_ROWS, bounded_median, median_of_hot, split_hot
+from verdigrid.skew import HOT_ROWS, bounded_median, checked_broadcast, median_of_hot, split_hot
 
 
 def clear_optical(s2: DataFrame, max_cloud: float = MAX_CLOUD_PCT, bands: list[str] = S2_BANDS) -> DataFrame:
@@ -52,7 +52,8 @@ def build_cube(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str],
     cells = pixels.select(*keys).withColumn("season_year", F.explode(years))
     medians = bounded_median(cells.join(cold, on, "left"), [*on, "month"], bands)
     if hot is not None:
-        medians = medians.unionByName(median_of_hot(hot.join(cells, on, "left_semi"), [*on, "month"], bands))
+        places = checked_broadcast(hot.select(*on).distinct().join(cells, on, "left_semi"))
+        medians = medians.unionByName(median_of_hot(hot.join(places, on, "left_semi"), [*on, "month"], bands))
     return composite.spread_months(medians, on, bands)
 
 

@@ -118,7 +118,8 @@ def median_of_hot(hot: DataFrame, keys: list[str], cols: list[str]) -> DataFrame
     ranked = running_total(counts, group, [F.col("value")], F.col("n"), "upto")
     sizes = ranked.groupBy(*group).agg(F.max("upto").alias("size"))
     reached = [F.min(F.when(F.col("upto") >= F.floor((F.col("size") + k) / 2), F.col("value"))) for k in (1, 2)]
-    medians = (ranked.join(sizes, group).groupBy(*group)
+    # one row per group and column, never shuffled to meet all rows of a hot group
+    medians = (ranked.join(checked_broadcast(sizes), group).groupBy(*group)
                .agg((reached[0] * 0.5 + reached[1] * 0.5).alias("median")))
     wide = medians.groupBy(*keys).pivot("name", cols).agg(F.first("median"))
     return hot.select(*keys).distinct().join(wide, keys, "left").select(*keys, *cols)
