@@ -9,7 +9,7 @@ from checks.registry import check
 from checks.scalars import MONTH_SQL, NDVI_SQL, YEAR_SQL, r9
 from checks.views import BAND_LIST, CODES, SEASONS, duck, s1, table, view
 from verdigrid.bands import BANDS, FILL_BAND, MONTHS, S1_BANDS, S2_BANDS, wide_name
-from verdigrid.operators import composite, features, gapfill, metrics, pairing, scenes
+from verdigrid.operators import composite, features, gapfill, metrics, pairing
 from verdigrid.plans import stack
 from verdigrid.sources import tables
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from checks.scalars import STEM_SQL, files, r9, affine_literals
-from checks.views import SEASONS, duck, edges, land_cover, polygons, table, view
+from checks.views import SEASONS, duck, edges, land_cover, polygons, view
 from verdigrid.functions import names
 from verdigrid.operators import pairing, spatial
 from verdigrid.plans.crop import crop_by_polygons

@@ -8,7 +8,7 @@ from checks.registry import check
 from checks.views import BAND_LIST, BANDS_SQL, CODES, duck, s1, table, view
 from verdigrid.bands import CHANNELS, S2_BANDS
 from verdigrid.functions import arrays, calendar, crs, geometry as geo, names, spectral
-from verdigrid.operators import composite, features, pairing, scenes
+from verdigrid.operators import features, pairing, scenes
 from verdigrid.sources import tables
 
 MONTH_SQL = "CAST((month({d})-9+12) % 12 + 1 AS INT)"

@@ -6,7 +6,6 @@ import math
 
 from pyspark.sql import functions as F
 
-from checks.aggregates import cube
 from checks.registry import check
 from checks.sources import RUNS, run_tables
 from checks.tiling import IMAGE, cells, headers
