@@ -16,9 +16,9 @@ SPACES = b" \t\n\v\f\r"
 SAMPLE_ROWS = 4000
 #: Documents stay if the trees give them at least this probability of good quality.
 KEEP_FROM = 0.3
-#: Features of the trees, and the direction in which quality may go with each.
-FEATURES = {"log_words": 0, "word_length": 0, "symbols_per_word": -1, "dup_line_share": -1, "repeat_share": -1, "adjacent_share": -1,
-            "distinct_share": 0, "upper_share": 0, "digit_share": 0, "bang_share": 0, "line_words": 0}
+#: Features of the trees, and the direction in which quality may go with each; none tells a document's length.
+FEATURES = {"word_length": 0, "symbols_per_word": -1, "dup_line_share": -1, "repeat_share": -1, "adjacent_share": -1,
+            "distinct_share": 0, "upper_share": 0, "digit_share": 0, "bang_share": 0}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -57,8 +57,8 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
     many = max(n, 1)
     adjacent = int((ids[1:] == ids[:-1]).sum())
     letters = max(int(of[65:91].sum() + of[97:123].sum()), 1)
-    features = [np.log1p(n), chars / many, symbols / many, dup / max(len(lines), 1), repeat / many, adjacent / many, len(number) / many,
-                of[65:91].sum() / letters, of[48:58].sum() / max(chars, 1), of[33] / many, n / max(len(lines), 1)]
+    features = [chars / many, symbols / many, dup / max(len(lines), 1), repeat / many, adjacent / many, len(number) / many,
+                of[65:91].sum() / letters, of[48:58].sum() / max(chars, 1), of[33] / many]
     return [n, chars, symbols, dup, repeat], [float(v) for v in features]
 
 
