@@ -22,6 +22,8 @@ SHINGLE = 5
 PERCENT = 80
 #: Coordinates of a point, points of a leaf box, and documents of a meeting place that one task compares with as many others.
 COORDINATES, LEAF, BLOCK = 32, 16, 512
+#: Keys that a document shares with its pivot for the first, quick verification; all others come up in the second.
+FIRST = 3
 #: Words remembered at a time by one task.
 MEMORY = 500_000
 
@@ -98,6 +100,16 @@ def group_keys(own: np.ndarray) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def needed(own: np.ndarray) -> int:
+    """Keys that a document shares at least with each larger one that it links with and is not equal to: its unchanged, filled groups."""
+    n = len(own)
+    if n < 4:
+        return 1
+    groups, differ = groups_of(int(np.searchsorted(SIZES, n, "right")) - 1)
+    filled = len(np.unique((own >> np.uint64(20)) % np.uint64(groups)))
+    return max(1, filled - differ)
+
+
 def counts_of(own: np.ndarray) -> bytes:
     """A set's point: a byte a coordinate, or four where a count needs them."""
     counts = np.bincount((own % np.uint64(COORDINATES)).astype(np.int64), minlength=COORDINATES)
@@ -145,15 +157,15 @@ class Tree:
 
 
 def profiles(docs: DataFrame, text: str) -> DataFrame:
-    """(doc_id, n, sig, keys, counts) of every row: the set's size, digest, meeting keys and group counts."""
+    """(doc_id, n, sig, keys, need, counts) of every row: the set's size, digest, meeting keys, how many a link shares, and group counts."""
     def run(batch: dict, hashes: Hashes = Hashes()) -> dict:
         if len(hashes) > MEMORY:
             hashes.clear()
         sets = [shingles(t, hashes) for t in batch["text"]]
         return {"doc_id": batch["doc_id"], "n": list(map(len, sets)), "sig": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                "keys": [group_keys(s) for s in sets], "counts": [counts_of(s) for s in sets]}
+                "keys": [group_keys(s) for s in sets], "need": list(map(needed, sets)), "counts": [counts_of(s) for s in sets]}
 
-    return map_batches(docs.select("doc_id", F.col(text).alias("text")), run, "doc_id bigint, n bigint, sig binary, keys array<bigint>, counts binary", rows=512)
+    return map_batches(docs.select("doc_id", F.col(text).alias("text")), run, "doc_id bigint, n bigint, sig binary, keys array<bigint>, need bigint, counts binary", rows=512)
 
 
 MEETING = "key bigint, rep bigint, pivot bigint"
@@ -197,10 +209,36 @@ def meetings(reps: DataFrame) -> DataFrame:
     return keys.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(run, StructType.fromDDL(MEETING))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose texts link; a document that is listed with several texts links by any of them."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = written(docs.select("doc_id", F.col(text).alias("text")).join(wanted, "doc_id").dropDuplicates(["doc_id", "text"]), "texts")
+def fine_counts(own: np.ndarray) -> bytes:
+    """A set's point with as many coordinates as it has members, rounded up to a power of two; a byte each, or four."""
+    size = 1 << min(16, max(5, (len(own) - 1).bit_length()))
+    counts = np.bincount((own % np.uint64(size)).astype(np.int64), minlength=size)
+    wide = counts.max() > 255
+    return bytes([wide]) + counts.astype("<i4" if wide else "u1").tobytes()
+
+
+def fine_overlap(a: bytes, b: bytes) -> int:
+    """Sum of coordinate minima; the longer point is folded to the shorter's length, which keeps sums of its coordinates."""
+    x, y = (np.frombuffer(p, "<i4" if p[0] else "u1", offset=1).astype(np.int32) for p in (a, b))
+    if len(x) != len(y):
+        x, y = (p.reshape(-1, min(len(x), len(y))).sum(axis=0) for p in (x, y))
+    return int(np.minimum(x, y).sum())
+
+
+def close(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose fine points leave room for a link: a tenth of the bytes that the texts of all pairs would move."""
+    side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("fine").alias(f"fine_{c}"))
+
+    def run(batch: dict) -> dict:
+        overlap = np.array([fine_overlap(x, y) for x, y in zip(batch["fine_a"], batch["fine_b"])], np.int64)
+        near = may_link(overlap, np.array(batch["n_a"], np.int64), np.array(batch["n_b"], np.int64))
+        return {c: np.array(batch[c], np.int64)[near] for c in ("a", "b")}
+
+    return map_batches(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a bigint, b bigint", rows=4096)
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose ``texts`` (doc_id, text) link; a document listed with several texts links by any of them."""
     side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
 
     def run(batch: dict) -> dict:
@@ -216,23 +254,36 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
                 out["b"].append(b)
         return out
 
-    return map_batches(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a bigint, b bigint", rows=256).distinct()
+    near = close(pairs, texts).distinct()
+    return map_batches(near.join(side("a"), "a").join(side("b"), "b"), run, "a bigint, b bigint", rows=256).distinct()
+
+
+def with_points(docs: DataFrame) -> DataFrame:
+    """Add the set's size ``n`` and its fine point to (doc_id, text)."""
+    def run(batch: dict, hashes: Hashes = Hashes()) -> dict:
+        if len(hashes) > MEMORY:
+            hashes.clear()
+        sets = [shingles(t, hashes) for t in batch["text"]]
+        return {**batch, "n": list(map(len, sets)), "fine": list(map(fine_counts, sets))}
+
+    return map_batches(docs, run, "doc_id bigint, text string, n bigint, fine binary", rows=512)
 
 
 def _unresolved(met: DataFrame, parts: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of documents of different components that share a key and that the tree's bounds let through."""
+    """Pairs of documents of different components that the tree's bounds let through and that share as many keys as a link must."""
     placed = met.select("key", "rep").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
     mixed = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
              .filter(F.col("low") != F.col("high")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     rows = (placed.join(mixed, "key").withColumn("x", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-            .join(reps.select("rep", "n", "counts"), "rep"))
+            .join(reps, "rep"))
     # a place with more than one block is compared block by block, each pair of blocks in a task of its own
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = rows.withColumn("y", other).select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "rep", "component", "n", "counts")
+    dealt = rows.withColumn("y", other).select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "rep", "component", "n", "need", "counts")
 
     placed = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "x")
-    return placed.mapInArrow(_bounded, "a bigint, b bigint").distinct()
+    shared = placed.mapInArrow(_bounded, "a bigint, b bigint, need bigint, m bigint").groupBy("a", "b").agg(F.min("need").alias("need"), F.sum("m").alias("m"))
+    return shared.filter(F.col("m") >= F.col("need")).select("a", "b")
 
 
 def _small(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -248,7 +299,7 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
 
     def solve(table: pa.Table) -> pa.RecordBatch:
-        key, i, j, x, rep, part, n = (table.column(c).to_numpy() for c in ("key", "i", "j", "x", "rep", "component", "n"))
+        key, i, j, x, rep, part, n, need = (table.column(c).to_numpy() for c in ("key", "i", "j", "x", "rep", "component", "n", "need"))
         points = points_of(table.column("counts").to_pylist())
         starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
         sizes = np.diff(np.append(starts, len(key)))
@@ -267,9 +318,11 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 near = (part[a] != part[b]) & may_link(np.minimum(n[a], n[b]), n[a], n[b])
                 a, b = a[near], b[near]
                 near = may_link(np.minimum(points[a], points[b]).sum(axis=1), n[a], n[b])
-                out.append(np.column_stack([np.maximum(rep[a[near]], rep[b[near]]), np.minimum(rep[a[near]], rep[b[near]])]))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, k], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                a, b = a[near], b[near]
+                least = np.minimum(np.where(n[a] <= n[b], need[a], need[b]), np.where(n[b] <= n[a], need[b], need[a]))
+                out.append(np.column_stack([np.maximum(rep[a], rep[b]), np.minimum(rep[a], rep[b]), least]))
+        pairs, times = np.unique(np.concatenate(out or [np.zeros((0, 3), np.int64)]), axis=0, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64), pa.int64()) for c in (*pairs.T, times)], names=["a", "b", "need", "m"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -298,20 +351,26 @@ def near_documents(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Documents with equal sets are one class from the start. Each class first meets the pivot with which it shares most
     keys; these pairs settle most groups of copies with one verification a document. Then only pairs of documents of
-    different components that share a key are bounded by the tree and verified, so that no link between components is lost
+    different components that share enough keys are bounded by the tree and verified, so that no link between components is lost
     and no group is expanded into all its pairs.
     """
     own = written(profiles(docs, text), "profiles")
     linkable = own.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    reps = written(linkable.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n", "keys", "counts"), "doc_id").alias("of"))
-                   .select("rep", "of.*"), "classes")
-    met = written(meetings(reps), "meetings")
-    first = (met.filter(F.col("rep") != F.col("pivot")).groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("n"))
+    one = lambda *of: linkable.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct(*of), "doc_id").alias("of")).select("rep", "of.*")
+    reps = written(one("n", "need", "counts"), "classes")
+    met = written(meetings(one("keys")), "meetings")
+    # a document that shares fewer keys than a link must, with all others together, has none
+    enough = (met.groupBy("rep").agg(F.count(F.lit(1)).alias("m")).join(reps.select("rep", "need"), "rep").filter(F.col("m") >= F.col("need"))
+              .select("rep").distinct())
+    met = written(met.join(enough, "rep", "left_semi"), "meetings")
+    texts = docs.select("doc_id", F.col(text).alias("text")).join(met.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = written(with_points(texts.dropDuplicates(["doc_id", "text"])), "texts")
+    first = (met.filter(F.col("rep") != F.col("pivot")).groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FIRST)
              .groupBy("rep").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot")).select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
-    links = written(verified(written(first, "pairs"), docs, text), "links")
+    links = written(verified(first, texts), "links")
     more = written(_unresolved(met, components(links), reps), "pairs")
     if not more.isEmpty():
-        links = links.unionByName(verified(more, docs, text))
+        links = links.unionByName(verified(more, texts))
     same = linkable.join(linkable.groupBy("sig").agg(F.min("doc_id").alias("rep")), "sig").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     parts = components(links.unionByName(same.filter(F.col("a") != F.col("b"))))
     return (own.select("doc_id", F.col("n").alias("n_shingles")).join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
