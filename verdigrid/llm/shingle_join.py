@@ -213,7 +213,7 @@ def fine_counts(own: np.ndarray) -> bytes:
     """A set's point with as many coordinates as it has members, rounded up to a power of two; a byte each, or four."""
     size = 1 << min(16, max(5, (len(own) - 1).bit_length()))
     counts = np.bincount((own % np.uint64(size)).astype(np.int64), minlength=size)
-    wide = counts.max() > 255
+    wide = bool(counts.max() > 255)
     return bytes([wide]) + counts.astype("<i4" if wide else "u1").tobytes()
 
 
