@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -22,7 +23,7 @@ SHINGLE = 5
 PERCENT = 80
 #: Coordinates of a point, points of a leaf box, and documents of a meeting place that one task compares with as many others.
 COORDINATES, LEAF, BLOCK = 32, 16, 512
-#: Keys that a document shares with its pivot for the first, quick verification; all others come up in the second.
+#: Keys that a document shares at least with the pivot of its family; all others come up in the second look.
 FIRST = 3
 #: Words remembered at a time by one task.
 MEMORY = 500_000
@@ -217,12 +218,20 @@ def fine_counts(own: np.ndarray) -> bytes:
     return bytes([wide]) + counts.astype("<i4" if wide else "u1").tobytes()
 
 
+def _fine(point: bytes) -> np.ndarray:
+    return np.frombuffer(point, "<i4" if point[0] else "u1", offset=1).astype(np.int32)
+
+
+def _folded(point: np.ndarray, size: int) -> np.ndarray:
+    """The point with fewer coordinates, each the sum of several."""
+    return point if len(point) == size else point.reshape(-1, size).sum(axis=0)
+
+
 def fine_overlap(a: bytes, b: bytes) -> int:
-    """Sum of coordinate minima; the longer point is folded to the shorter's length, which keeps sums of its coordinates."""
-    x, y = (np.frombuffer(p, "<i4" if p[0] else "u1", offset=1).astype(np.int32) for p in (a, b))
-    if len(x) != len(y):
-        x, y = (p.reshape(-1, min(len(x), len(y))).sum(axis=0) for p in (x, y))
-    return int(np.minimum(x, y).sum())
+    """Sum of coordinate minima at the shorter point's length."""
+    x, y = _fine(a), _fine(b)
+    size = min(len(x), len(y))
+    return int(np.minimum(_folded(x, size), _folded(y, size)).sum())
 
 
 def close(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -269,9 +278,9 @@ def with_points(docs: DataFrame) -> DataFrame:
     return map_batches(docs, run, "doc_id bigint, text string, n bigint, fine binary", rows=512)
 
 
-def _unresolved(met: DataFrame, parts: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of documents of different components that the tree's bounds let through and that share as many keys as a link must."""
-    placed = met.select("key", "rep").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
+def _between(met: DataFrame, families: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs of documents of different families that the tree's bounds let through and that share as many keys as a link must."""
+    placed = met.select("key", "rep").join(families.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
     mixed = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
              .filter(F.col("low") != F.col("high")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
@@ -286,6 +295,46 @@ def _unresolved(met: DataFrame, parts: DataFrame, reps: DataFrame) -> DataFrame:
     return shared.filter(F.col("m") >= F.col("need")).select("a", "b")
 
 
+def _within(texts: DataFrame, families: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs of documents of one family and different components that the bounds let through: of the tree's boxes and points, then of fine points.
+
+    A family is dealt into blocks, and each pair of blocks is a task's: all its pairs are bounded there and only survivors leave.
+    """
+    part = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
+    rows = (texts.select("doc_id", "n", "fine").join(families.select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "doc_id")
+            .join(part, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id")))
+    mixed = (rows.groupBy("family").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("of"))
+             .filter(F.col("low") != F.col("high")).select("family", F.ceil(F.col("of") / BLOCK).cast("int").alias("blocks")))
+    dealt = (rows.join(mixed, "family").withColumn("x", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+             .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("family", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "doc_id", "part", "n", "fine"))
+
+    def compare(here: pd.DataFrame) -> pd.DataFrame:
+        sides = [here[here["x"] == here[c].iloc[0]] for c in ("i", "j")]
+        out = []
+        if all(map(len, sides)):
+            n, own, group = ([s[c].to_numpy() for s in sides] for c in ("n", "doc_id", "part"))
+            fine = [[_fine(f) for f in s["fine"]] for s in sides]
+            trees = [Tree(n[k], np.array([_folded(f, COORDINATES) for f in fine[k]])) for k in (0, 1)]
+            for r, c in trees[0].pairs(trees[1]):
+                apart = group[0][r] != group[1][c]
+                r, c = r[apart], c[apart]
+                sizes = np.minimum(np.array([len(f) for f in fine[0]])[r], np.array([len(f) for f in fine[1]])[c])
+                for size in np.unique(sizes):
+                    a, b = r[sizes == size], c[sizes == size]
+                    rows_a, at_a = np.unique(a, return_inverse=True)
+                    rows_b, at_b = np.unique(b, return_inverse=True)
+                    left, right = np.array([_folded(fine[0][k], size) for k in rows_a]), np.array([_folded(fine[1][k], size) for k in rows_b])
+                    step = max(1, 4_000_000 // size)
+                    overlap = np.concatenate([np.minimum(left[at_a[k:k + step]], right[at_b[k:k + step]]).sum(axis=1) for k in range(0, len(a), step)])
+                    near = may_link(overlap, n[0][a], n[1][b])
+                    out.append(np.column_stack([own[0][a[near]], own[1][b[near]]]))
+        pairs = np.concatenate(out or [np.zeros((0, 2), np.int64)])
+        return pd.DataFrame({"a": pairs.max(axis=1), "b": pairs.min(axis=1)}, dtype="int64") if len(pairs) else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+
+    return dealt.groupBy("family", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+
+
 def _small(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of rows within groups of one small size."""
     rows = starts[:, None] + np.arange(size)
@@ -350,9 +399,10 @@ def near_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     texts. Extra columns are ignored; no rows give no rows.
 
     Documents with equal sets are one class from the start. Each class first meets the pivot with which it shares most
-    keys; these pairs settle most groups of copies with one verification a document. Then only pairs of documents of
-    different components that share enough keys are bounded by the tree and verified, so that no link between components is lost
-    and no group is expanded into all its pairs.
+    keys; classes joined by such pairs are a family. Verified, these pairs settle most groups of copies with one look a
+    document. Then documents of different components of a family are bounded by the tree, each pair once; so are those of
+    different families that share enough keys. Survivors are verified, so that no link between components is lost, and no
+    pair within a component is looked at.
     """
     own = written(profiles(docs, text), "profiles")
     linkable = own.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
@@ -365,10 +415,14 @@ def near_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     met = written(met.join(enough, "rep", "left_semi"), "meetings")
     texts = docs.select("doc_id", F.col(text).alias("text")).join(met.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     texts = written(with_points(texts.dropDuplicates(["doc_id", "text"])), "texts")
-    first = (met.filter(F.col("rep") != F.col("pivot")).groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FIRST)
-             .groupBy("rep").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot")).select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+    need = reps.groupBy("rep").agg(F.min("need").alias("need"))
+    first = (met.filter(F.col("rep") != F.col("pivot")).groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("m")).join(need, "rep")
+             .filter((F.col("m") >= FIRST) & (2 * F.col("m") >= F.col("need"))).groupBy("rep")
+             .agg(F.max_by("pivot", F.struct("m", -F.col("pivot"))).alias("pivot")).select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+    first = written(first, "pairs")
+    families = components(first)
     links = written(verified(first, texts), "links")
-    more = written(_unresolved(met, components(links), reps), "pairs")
+    more = written(_within(texts, families, components(links)).unionByName(_between(met, families, reps)), "pairs")
     if not more.isEmpty():
         links = links.unionByName(verified(more, texts))
     same = linkable.join(linkable.groupBy("sig").agg(F.min("doc_id").alias("rep")), "sig").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
