@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from checks.scalars import MONTH_SQL, NDVI_SQL, YEAR_SQL, r9
-from checks.views import BAND_LIST, CODES, SEASONS, duck, s1, table, view
+from checks.views import CODES, SEASONS, duck, s1, table, view
 from verdigrid.bands import BANDS, FILL_BAND, MONTHS, S1_BANDS, S2_BANDS, wide_name
 from verdigrid.operators import composite, features, gapfill, metrics, pairing
 from verdigrid.plans import stack
@@ -105,7 +105,7 @@ def _(spark, sf):
 
 @check("name_problems", duck("""SELECT l_orderkey, l_linenumber, name, CASE WHEN NOT regexp_matches(name, '^M(\\d{2})_(.+)$') THEN 'bad_format'
  WHEN CAST(substr(name, 2, 2) AS INT) NOT BETWEEN 1 AND 12 THEN 'bad_month_range' ELSE 'unknown_band' END AS problem FROM v_names
- WHERE NOT regexp_matches(name, '^M(0[1-9]|1[0-2])_(""" + "|".join(BAND_LIST) + ")$')", "v_names"))
+ WHERE NOT regexp_matches(name, '^M(0[1-9]|1[0-2])_(""" + "|".join(BANDS) + ")$')", "v_names"))
 def _(spark, sf):
     return composite.name_problems(view(spark, sf, "v_names"))
 
@@ -163,7 +163,7 @@ def _(spark, sf):
     return gapfill.valid_span(cube(spark, sf), ["pixel_id", "season_year"], "red")
 
 
-_SERIES = [*[b for b in BAND_LIST if b not in ("coastal", "water_vapor")], "ndvi"]
+_SERIES = [*[b for b in BANDS if b not in ("coastal", "water_vapor")], "ndvi"]
 
 
 @check("build_features", duck_cube(f"SELECT pixel_id, season_year, month, CAST(0 AS DOUBLE) AS era5_0, {', '.join(f'{sql32(filled_sql(b))} AS {b}' for b in _SERIES)} FROM w",
@@ -249,8 +249,18 @@ def _(spark, sf):
     return r9(metrics.class_weights(table(spark, sf, "embeddings"), "balanced"), ["weight"])
 
 
-@check("quality_token_counts", """SELECT CAST(min(n) AS INT) AS min_masked, CAST(max(n) AS INT) AS max_masked, min(n) = max(n) AS equal
- FROM (SELECT p_partkey, sum(CASE WHEN c BETWEEN 12 AND 15 THEN 1 ELSE 0 END) AS n FROM part, range(17) t(c), range(12) u(m) GROUP BY p_partkey)""")
+# channel positions of the groups; elevation (14, 15) has a token for the first month only; channels and land cover are masked by pixel and month
+_GROUPS = ", ".join(f"({c}, {g})" for g, cs in enumerate([(0, 1), (2, 3, 4), (5, 6, 7), (8,), (9,), (10, 11), (12, 13), (14, 15), (16,)]) for c in cs)
+
+
+@check("quality_token_counts", f"""SELECT CAST(min(n) AS INT) AS min_masked, CAST(max(n) AS INT) AS max_masked, min(n) = max(n) AS equal FROM
+ (SELECT p_partkey, sum(k) AS n FROM (SELECT p_partkey, g, m, max(CASE WHEN c BETWEEN 12 AND 15 OR (p_partkey + 7*c + m) % 11 = 0 THEN 1 ELSE 0 END) AS k
+   FROM part, (VALUES {_GROUPS}) t(c, g), range(12) u(m) WHERE g <> 7 OR m = 0 GROUP BY ALL
+  UNION ALL SELECT p_partkey, 99, m, CASE WHEN (p_partkey + m) % 5 = 0 THEN 1 ELSE 0 END FROM part, range(12) u(m)) GROUP BY p_partkey)""")
 def _(spark, sf):
-    rows = view(spark, sf, "v_mask").select("pixel_id", F.flatten(F.array_repeat(features.channel_mask(), 12)).alias("mask"))
+    masked = lambda m: F.transform(F.sequence(F.lit(0), F.lit(16)), lambda c: F.greatest(
+        F.get(features.channel_mask(), c), ((F.col("pixel_id") + 7 * c + m) % 11 == 0).cast("int")))
+    months = F.sequence(F.lit(0), F.lit(11))
+    rows = view(spark, sf, "v_mask").select("pixel_id", F.flatten(F.transform(months, masked)).alias("mask"),
+                                            F.transform(months, lambda m: ((F.col("pixel_id") + m) % 5 == 0).cast("int")).alias("land_cover_mask"))
     return metrics.masked_token_range(rows)

@@ -95,9 +95,9 @@ IOU = f"""SELECT poly, raster_id, path, nodata, inter, inter/(area + (bx1-bx0)*(
 _SPATIAL = ("v_tiles", "v_poly", "v_edges")
 
 
-@check("polygon_box_iou", duck("SELECT poly, raster_id, round(inter, 9) AS inter_area, round(iou, 9) AS iou FROM i", *_SPATIAL, b=_BOUNDS, x=_BOXES, i=IOU))
+@check("polygon_box_iou", duck("SELECT poly, raster_id, round(inter, 9) AS inter_area, round(iou, 9) AS iou FROM i WHERE iou >= 1e-6", *_SPATIAL, b=_BOUNDS, x=_BOXES, i=IOU))
 def _(spark, sf):
-    pairs = spatial.iou_join(edges(spark, sf), ["poly"], footprints(spark, sf), ["raster_id"], threshold=0.0)
+    pairs = spatial.iou_join(edges(spark, sf), ["poly"], footprints(spark, sf), ["raster_id"], threshold=1e-6)
     return pairs.select("poly", "raster_id", F.round("inter_area", 9).alias("inter_area"), F.round("iou", 9).alias("iou"))
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import check
-from checks.views import BAND_LIST, BANDS_SQL, CODES, duck, s1, table, view
-from verdigrid.bands import CHANNELS, S2_BANDS
+from checks.views import BANDS_SQL, CODES, duck, s1, table, view
+from verdigrid.bands import BANDS, CHANNELS, NODATA_BY_DTYPE, S2_BANDS
 from verdigrid.functions import arrays, calendar, crs, geometry as geo, names, spectral
-from verdigrid.operators import features, pairing, scenes
+from verdigrid.operators import features, grid, pairing, scenes
 from verdigrid.sources import tables
 
 MONTH_SQL = "CAST((month({d})-9+12) % 12 + 1 AS INT)"
@@ -86,13 +86,13 @@ def _(spark, sf):
 
 @check("label_shift", duck("SELECT vec_id, CAST(pred + 1 AS INT) AS label FROM v_scored", "v_scored"))
 def _(spark, sf):
-    return view(spark, sf, "v_scored").select("vec_id", (F.col("pred") + 1).alias("label"))
+    return view(spark, sf, "v_scored").select("vec_id", grid.shifted_label(F.col("pred")).alias("label"))
 
 
 NDVI_SQL = "CASE WHEN abs({n}+{r}) >= 1e-6 THEN greatest(-1.0, least(1.0, ({n}-{r})/({n}+{r}+1e-6))) END"
 CHANNEL_SQL = ", ".join(
     f"round({NDVI_SQL.format(n=BANDS_SQL['nir'], r=BANDS_SQL['red'])}, 9) AS ndvi" if c == "ndvi"
-    else f"CAST(0 AS DOUBLE) AS {c}" if c not in BAND_LIST
+    else f"CAST(0 AS DOUBLE) AS {c}" if c not in BANDS
     else f"{dict(vv='-l_quantity/2', vh='-l_quantity/2 - l_tax*100', **BANDS_SQL).get(c)} AS {c}" for c in CHANNELS)
 
 
@@ -158,7 +158,7 @@ def _(spark, sf):
     return r9(zero.select("l_orderkey", "l_linenumber", spectral.ndvi(F.col("nir"), F.col("red")).alias("ndvi")), ["ndvi"])
 
 
-_KNOWN = ", ".join(f"'{b}'" for b in BAND_LIST)
+_KNOWN = ", ".join(f"'{b}'" for b in BANDS)
 
 
 @check("parse_band_name", duck(f"""SELECT l_orderkey, l_linenumber, name, CAST(nullif(regexp_extract(name, '^M(\\d{{2}})_(.+)$', 1), '') AS INT) AS month,
@@ -205,12 +205,10 @@ def _(spark, sf):
 @check("natural_sort", duck(f"""SELECT path, row_number() OVER (ORDER BY coalesce(try_cast(regexp_extract({STEM_SQL}, '(\\d+)', 1) AS BIGINT), 0), path) AS pos
  FROM ({FILES})""", "v_inputs", "v_masks"))
 def _(spark, sf):
-    # the position of a globally sorted row, from a running total over the sorted partitions
+    # the ids follow the operator's own order; the running total only numbers them
     from verdigrid.skew import running_total
-    digits = names.natural_digits(F.col("path"))
-    rows = pairing.natural_sort(files(spark, sf)).withColumns({"_all": F.lit(0), "_len": F.length(digits), "_digits": digits})
-    placed = running_total(rows, ["_all"], [F.col("_len"), F.col("_digits"), F.col("path")], F.lit(1).cast("bigint"), "pos")
-    return placed.select("path", "pos")
+    rows = pairing.natural_sort(files(spark, sf)).withColumns({"_at": F.monotonically_increasing_id(), "_all": F.lit(0)})
+    return running_total(rows, ["_all"], [F.col("_at")], F.lit(1).cast("bigint"), "pos").select("path", "pos")
 
 
 @check("common_indices", duck(f"""SELECT CAST(regexp_extract({STEM_SQL}, '(\\d+)$', 1) AS BIGINT) AS idx FROM v_inputs
@@ -222,12 +220,8 @@ def _(spark, sf):
 @check("missing_bands", duck("""SELECT orderkey, band FROM (SELECT DISTINCT l_orderkey AS orderkey FROM v_names), (VALUES ('red'), ('red_edge4'), ('vh'), ('vv'), ('nir')) t(band)
  EXCEPT SELECT l_orderkey, regexp_extract(name, '^M(\\d{2})_(.+)$', 2) FROM v_names""", "v_names"))
 def _(spark, sf):
-    named = view(spark, sf, "v_names")
-    required = F.array(*[F.lit(b) for b in ("red", "red_edge4", "vh", "vv", "nir")])
-    # at most the known band names are gathered per raster
-    present = named.groupBy(F.col("l_orderkey").alias("orderkey")).agg(
-        F.collect_set(F.when(names.band_of(F.col("name")).isin(BAND_LIST), names.band_of(F.col("name")))).alias("have"))
-    return present.select("orderkey", F.explode(F.array_except(required, F.col("have"))).alias("band"))
+    named = view(spark, sf, "v_names").withColumnRenamed("l_orderkey", "orderkey")
+    return features.missing_bands_of(named, "orderkey", ["red", "red_edge4", "vh", "vv", "nir"])
 
 
 GRID = {"a": 10.0, "b": 0.5, "c": 300000.0, "d": -0.25, "e": -10.0, "f": 4500000.0}
@@ -286,12 +280,13 @@ def _(spark, sf):
                        geo.col_of_flat(F.col("flat"), width).alias("back_col"))
 
 
-_TYPES = "list_extract(['uint8','int8','uint16','int16','uint32','int32','float32','float64'], CAST(p_partkey % 8 + 1 AS INT))"
+_KINDS = [*NODATA_BY_DTYPE, "float32", "float64"]
+_TYPES = f"list_extract({_KINDS}, CAST(p_partkey % 8 + 1 AS INT))"
 
 
 @check("nodata_for_dtype", f"""SELECT p_partkey, {_TYPES} AS dtype, CAST(list_extract([0,-128,0,-32768,0,-2147483648,-9999,-9999], CAST(p_partkey % 8 + 1 AS INT)) AS BIGINT) AS nodata FROM part""")
 def _(spark, sf):
-    kinds = F.array(*[F.lit(t) for t in "uint8 int8 uint16 int16 uint32 int32 float32 float64".split()])
+    kinds = F.array(*[F.lit(t) for t in _KINDS])
     dtype = F.element_at(kinds, (F.col("p_partkey") % 8 + 1).cast("int"))
     return table(spark, sf, "part").select("p_partkey", dtype.alias("dtype"), spectral.nodata_for_dtype(dtype).alias("nodata"))
 

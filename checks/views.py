@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from verdigrid.bands import BANDS
 from verdigrid.operators.spatial import ring_edges
 
 GRID_WIDTH = 50
@@ -27,8 +28,7 @@ CODES = {
     "B8": f"{_PRICE}/131072 + l_quantity/1024", "B8A": f"{_PRICE}/131072 - {_DISC}/1024", "B9": f"{_TAX}/32",
     "B11": f"({_DISC}*4 + l_quantity)/256", "B12": f"({_DISC} + {_TAX})/32",
 }
-BAND_LIST = "coastal blue green red red_edge1 red_edge2 red_edge3 nir red_edge4 water_vapor swir1 swir2 vv vh".split()
-BANDS_SQL = {n: e for n, e in zip(BAND_LIST, CODES.values())}
+BANDS_SQL = dict(zip(BANDS, CODES.values()))
 QA = "CASE WHEN l_linenumber=1 THEN 1024 WHEN l_linenumber=2 THEN 2048 WHEN l_linenumber=3 THEN 4096 ELSE 0 END"
 RASTER_ID = "CAST(floor(p_partkey/500) AS INT)"
 SEASONS = (1994, 2001)

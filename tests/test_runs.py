@@ -103,3 +103,35 @@ def test_list_rasters(spark, tmp_path):
         (tmp_path / name).write_bytes(b"x")
     listed = [r["path"] for r in tables.list_rasters(spark, str(tmp_path)).collect()]
     assert [p.rsplit("/", 1)[1] for p in listed] == ["a.TIFF", "b.tif", "d.Tif"]
+
+
+def test_multipolygons_and_broken_lines(spark, tmp_path):
+    square = lambda x: [[[x, 0], [x + 1, 0], [x + 1, 1], [x, 0]]]
+    feature = {"type": "Feature", "properties": {"name": "two"}, "geometry": {"type": "MultiPolygon", "coordinates": [square(0), square(5)]}}
+    good, bad, odd = (tmp_path / n for n in ("good.jsonl", "bad.jsonl", "odd.jsonl"))
+    good.write_text(json.dumps(feature))
+    rings = tables.load_rois(spark, str(good)).first()["rings"]
+    assert [r[0]["x"] for r in rings] == [0.0, 5.0]
+    bad.write_text(json.dumps(feature) + "\n{broken")
+    odd.write_text(json.dumps({**feature, "geometry": {"type": "Polygon", "coordinates": [["x"]]}}))
+    for path in (bad, odd):
+        with pytest.raises(Exception):
+            tables.load_rois(spark, str(path)).collect()
+
+
+def test_files_without_index_are_errors(spark):
+    inputs = spark.createDataFrame([("/a_1.tif",), ("/noindex.tif",), (f"/b_{'9' * 30}.tif",)], "path STRING")
+    masks = spark.createDataFrame([("/m_1.tif",)], "path STRING")
+    with pytest.raises(Exception, match="no index"):
+        pairing.pair_by_idx(inputs, masks, []).collect()
+    assert pairing.pair_by_idx(inputs, masks, [], strict=False).count() == 1
+    assert {r["path"][:3] for r in pairing.nameless_files(inputs).collect()} == {"/no", "/b_"}
+
+
+def test_grids_are_compared_cell_by_cell(spark):
+    cells = [("a", 0, 0), ("a", 0, 1), ("a", 1, 0), ("a", 1, 1)]
+    frame = lambda rows: spark.createDataFrame(rows, "roi STRING, grid_row INT, grid_col INT")
+    headers = spark.createDataFrame([("a", 2, 2)], "roi STRING, width INT, height INT")
+    wrong = lambda rows: [r["roi"] for r in sinks.incomplete_grids(frame(rows), headers, ["roi"]).collect()]
+    assert wrong(cells) == []
+    assert wrong([*cells[:3], cells[0]]) == ["a"] and wrong([*cells, cells[0]]) == ["a"] and wrong([*cells, ("b", 0, 0)]) == ["b"]

@@ -153,3 +153,12 @@ def test_fit_head(spark, sf, tmp_path):
 def test_month_encoding_rejects_bad_start():
     with pytest.raises(ValueError):
         encoder.month_table(12, 12)
+
+
+def test_tensors_listed_twice(spark):
+    shapes = head_shapes(2, sizes=(), inputs=3)
+    rows = [(n, list(s), [0.0] * int(np.prod(s))) for n, s in shapes.items()]
+    once = spark.createDataFrame(rows, "name STRING, shape ARRAY<INT>, data ARRAY<FLOAT>")
+    assert set(load_weights(once, shapes)) == set(shapes)
+    with pytest.raises(ValueError, match="more than once"):
+        load_weights(once.unionByName(once.limit(1)), shapes)

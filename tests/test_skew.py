@@ -79,7 +79,7 @@ def test_iou_with_chunked_edges(spark, sf, monkeypatch):
     from checks.views import edges
 
     def pairs():
-        found = spatial.iou_join(edges(spark, sf), ["poly"], footprints(spark, sf), ["raster_id"], 0.0)
+        found = spatial.iou_join(edges(spark, sf), ["poly"], footprints(spark, sf), ["raster_id"], 1e-6)
         return {(r["poly"], r["raster_id"]): r["iou"] for r in found.collect()}
 
     whole = pairs()

@@ -114,6 +114,16 @@ def test_crop_prefers_the_best_raster_and_skips_nodata(spark):
         ("field", r, c, 2 if c == 0 else 1) for r in range(4) for c in range(4)}
 
 
+def test_crop_refuses_rasters_of_another_step(spark):
+    edges = spatial.ring_edges(spark.createDataFrame([(1, [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]])], RINGS), ["poly"])
+    head = "raster_id INT, path STRING, width INT, height INT, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, e DOUBLE, f DOUBLE, nodata DOUBLE"
+    headers = spark.createDataFrame([(1, "/a", 2, 2, 2.0, 0.0, 0.0, 0.0, -2.0, 4.0, 0.0)], head)
+    pixels = spark.createDataFrame([(1, r, c, 1) for r in range(2) for c in range(2)], "raster_id INT, grid_row BIGINT, grid_col BIGINT, value INT")
+    grid = {k: F.lit(v) for k, v in dict(a=1.0, b=0.0, c=0.0, d=0.0, e=-1.0, f=4.0).items()}
+    with pytest.raises(Exception, match="steps differ"):
+        crop_by_polygons(edges, ["poly"], headers, pixels, grid).collect()
+
+
 def test_landcover_years():
     check_landcover_year(2017)
     with pytest.raises(ValueError):
@@ -149,3 +159,8 @@ def test_utm_arc_length(spark):
 def test_unknown_system_fails(spark):
     with pytest.raises(Exception, match="unsupported EPSG"):
         spark.range(1).select(crs.to_lonlat(F.lit(1.0), F.lit(1.0), F.lit(2154))[0]).collect()
+
+
+def test_threshold_zero_is_an_error():
+    with pytest.raises(ValueError, match="above 0"):
+        spatial.iou_join(None, ["poly"], None, ["raster_id"], threshold=0.0)

@@ -23,6 +23,7 @@ CHANNEL_GROUPS = [
     ("SRTM", ["srtm_0", "srtm_1"], False),
     ("NDVI", ["ndvi"], True),
 ]
+STATIC_GROUP = "SRTM"
 CHANNELS = [c for _, names, _ in CHANNEL_GROUPS for c in names]
 ABSENT_CHANNELS = [c for _, names, given in CHANNEL_GROUPS if not given for c in names]
 SERIES_CHANNELS = [c for c in CHANNELS if c not in ABSENT_CHANNELS]

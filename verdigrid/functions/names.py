@@ -26,12 +26,11 @@ def is_raster(path: Column) -> Column:
 
 
 def extract_idx(path: Column, strict: bool = False) -> Column:
-    """Integer at the end of the stem; without one NULL, or an error when ``strict``."""
-    digits = F.nullif(F.regexp_extract(path_stem(path), r"(\d+)$", 1), F.lit(""))
-    idx = digits.cast("bigint")
+    """Integer at the end of the stem; without one, or if it is too long for a 64-bit integer, NULL, or an error when ``strict``."""
+    idx = F.nullif(F.regexp_extract(path_stem(path), r"(\d+)$", 1), F.lit("")).try_cast("bigint")
     if not strict:
         return idx
-    return F.when(digits.isNotNull(), idx).otherwise(
+    return F.when(idx.isNotNull(), idx).otherwise(
         F.raise_error(F.concat(F.lit("no index in file name: "), path)).cast("bigint"))
 
 

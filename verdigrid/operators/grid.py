@@ -36,6 +36,11 @@ def constant_mask(pixels: DataFrame, keys: list[str], value: int = CROPLAND_CLAS
     return pixels.select(*keys, *CELL, F.lit(value).cast("int").alias("cls"))
 
 
+def shifted_label(pred: Column) -> Column:
+    """The label of a predicted class: labels start at 1, as 0 is nodata."""
+    return pred + 1
+
+
 def filter_class(pixels: DataFrame, mask: DataFrame, keys: list[str], cls: int = CROPLAND_CLASS) -> DataFrame:
     """Pixels whose aligned class is the given one."""
     return pixels.join(mask.filter(F.col("cls") == cls).select(*keys), keys, "left_semi")

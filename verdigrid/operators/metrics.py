@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from verdigrid.bands import CHANNEL_GROUPS, CHANNELS, STATIC_GROUP
 from verdigrid.functions.arrays import log_sum_exp
 from verdigrid.session import materialise
 
@@ -124,8 +125,20 @@ def binary_cross_entropy(scored: DataFrame, weight: float = 1.0, batch: str = "b
     return by_batch.agg(F.coalesce(F.avg("loss"), F.lit(0.0)).alias("loss"))
 
 
-def masked_token_range(features: DataFrame, mask: str = "mask") -> DataFrame:
-    """Smallest and largest number of masked channels of a row; the model needs them equal."""
-    n = F.aggregate(mask, F.lit(0), lambda acc, v: acc + v)
+def masked_token_range(features: DataFrame, mask: str = "mask", land_cover: str = "land_cover_mask") -> DataFrame:
+    """Smallest and largest number of masked tokens of a row; the model needs them equal.
+
+    ``mask`` has the channels of month after month, ``land_cover`` (optional) a flag per month. A group has one token a
+    month, masked if any of its channels is; the elevation group has one token in all, as it does not change.
+    """
+    width, n = len(CHANNELS), F.lit(0)
+    months = F.size(mask) / width
+    for group, names, _ in CHANNEL_GROUPS:
+        at = [CHANNELS.index(c) for c in names]
+        first = F.greatest(*[F.get(mask, F.lit(i)) for i in at]) if len(at) > 1 else F.get(mask, F.lit(at[0]))
+        by_month = lambda acc, m: acc + F.greatest(*[F.get(mask, m * width + i) for i in at], F.lit(0))  # noqa: B023, E731
+        n = n + (first if group == STATIC_GROUP else F.aggregate(F.sequence(F.lit(0), months.cast("int") - 1), F.lit(0), by_month))
+    if land_cover in features.columns:
+        n = n + F.aggregate(land_cover, F.lit(0), lambda acc, v: acc + v)
     return features.agg(F.min(n).alias("min_masked"), F.max(n).alias("max_masked"),
                         (F.min(n) == F.max(n)).alias("equal"))

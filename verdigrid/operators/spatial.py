@@ -114,11 +114,13 @@ def iou_join(edges: DataFrame, poly_keys: list[str], footprints: DataFrame, rast
              threshold: float = 1e-4, cell: float = 8.0, on: list[str] | None = None) -> DataFrame:
     """(polygon, raster, iou) with iou >= threshold, for boxes ``bx0 by0 bx1 by1``.
 
-    Only polygons and rasters whose boxes meet are looked at: at threshold 0 the
-    remaining pairs have iou 0 and no pixel in common, and are not listed.
+    Only polygons and rasters whose boxes meet are looked at. At a threshold of 0 or
+    less every pair would qualify, so that is an error.
     Edges are joined in chunks of bounded size, so a polygon with very many
     vertices is spread over tasks; the sum per pair is pre-aggregated.
     """
+    if threshold <= 0:
+        raise ValueError("the threshold must be above 0: at 0 every polygon qualifies with every raster")
     on = on or []
     box = ["bx0", "by0", "bx1", "by1"]
     bounds = materialise(polygon_bounds(edges, poly_keys))
