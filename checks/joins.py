@@ -79,7 +79,7 @@ def polygon_boxes(spark, sf):
                                      "v_tiles", "v_poly", "v_edges", b=_BOUNDS, x=_BOXES))
 def _(spark, sf):
     met = spatial.scenes_meeting_rois(footprints(spark, sf), ["bx0", "by0", "bx1", "by1"], polygon_boxes(spark, sf),
-                                      ["px0", "py0", "px1", "py1"], 8.0)
+                                      ["px0", "py0", "px1", "py1"])
     return met.select("raster_id", "path")
 
 

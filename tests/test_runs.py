@@ -135,3 +135,20 @@ def test_grids_are_compared_cell_by_cell(spark):
     wrong = lambda rows: [r["roi"] for r in sinks.incomplete_grids(frame(rows), headers, ["roi"]).collect()]
     assert wrong(cells) == []
     assert wrong([*cells[:3], cells[0]]) == ["a"] and wrong([*cells, cells[0]]) == ["a"] and wrong([*cells, ("b", 0, 0)]) == ["b"]
+
+
+def test_trained_head_and_missing_input(spark):
+    from verdigrid.scoring import model
+
+    cells = spark.createDataFrame([("a", 2018, 0, 0, c, 50.0, 20.0 + c) for c in range(6)],
+                                  "roi STRING, season_year INT, idx BIGINT, grid_row BIGINT, grid_col BIGINT, lat DOUBLE, lon DOUBLE")
+    cube = (cells.drop("lat", "lon").withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12)))).select(
+        *KEYS, "grid_row", "grid_col", "month", *[(F.col("month") * (i + 1) / 100 + F.col("grid_col") / 7).alias(b) for i, b in enumerate(BANDS)])
+        .withColumn("vv", F.when(F.col("grid_col") != 5, F.col("vv"))))
+    weights = sine_weights(inference.model_shapes(2))
+    embedded = spark.createDataFrame([(i % 2, [float(i % 2)] * 128) for i in range(20)], "label INT, embedding ARRAY<FLOAT>")
+    fitted = model.fit_head(embedded)
+    own, trained = ({r["grid_col"]: (r["label"], r["nan_input"]) for r in inference.infer_image(cube, cells, KEYS, weights, 2, fitted=f).collect()}
+                    for f in (None, fitted))
+    for got in (own, trained):
+        assert len(got) == 6 and got[5] == (0, True) and all(got[c][0] in (1, 2) and not got[c][1] for c in range(5))

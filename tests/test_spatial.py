@@ -164,3 +164,24 @@ def test_unknown_system_fails(spark):
 def test_threshold_zero_is_an_error():
     with pytest.raises(ValueError, match="above 0"):
         spatial.iou_join(None, ["poly"], None, ["raster_id"], threshold=0.0)
+
+
+BOX = ["x0", "y0", "x1", "y1"]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-5, 1e5])
+def test_box_join_in_any_unit(spark, scale):
+    rng = random.Random(11)
+    boxes = []
+    for i in range(120):
+        w, h = (rng.choice([0.0, 0.01, 1.0, 8.0, 300.0]) * rng.random() for _ in range(2))
+        x, y = rng.uniform(-50, 50), rng.uniform(-50, 50)
+        boxes.append((i, x * scale, y * scale, (x + w) * scale, (y + h) * scale))
+    left = spark.createDataFrame(boxes[:70], "l INT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE")
+    right = spark.createDataFrame(boxes[70:], "r INT, a0 DOUBLE, b0 DOUBLE, a1 DOUBLE, b1 DOUBLE")
+    got = [(r["l"], r["r"]) for r in spatial.box_overlap_join(left, BOX, right, ["a0", "b0", "a1", "b1"]).collect()]
+    want = {(p[0], q[0]) for p in boxes[:70] for q in boxes[70:] if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]}
+    assert len(got) == len(set(got)) and set(got) == want
+    top = math.ceil(math.log2(max(max(b[3] - b[1], b[4] - b[2]) for b in boxes)))
+    copies = spatial.box_cells(spatial.box_levels(left, BOX, top), BOX).groupBy("l").count()
+    assert copies.agg(F.max("count")).first()[0] <= 4

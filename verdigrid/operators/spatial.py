@@ -6,6 +6,8 @@ rings run the other way round than outer ones. Boxes have x0, y0, x1, y1.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigrid.functions import crs, geometry as geo
@@ -13,6 +15,8 @@ from verdigrid.session import materialise
 from verdigrid.skew import HOT_ROWS, checked_broadcast, row_numbers
 
 EDGE = ["x0", "y0", "x1", "y1"]
+# Levels of boxes that the overlap join tells apart.
+LEVELS = 12
 EDGES_PER_CHUNK = 10_000
 
 
@@ -76,42 +80,69 @@ def settled(iou: Column) -> Column:
     return F.round(iou, 12)
 
 
+def box_levels(df: DataFrame, box: list[str], top: int) -> DataFrame:
+    """Add ``_level``: the level whose cells, of side 2 ** level, are the smallest that hold a box of this size.
+
+    Small boxes share the level ``LEVELS`` below the largest box's. A box covers four cells of its level at most.
+    """
+    x0, y0, x1, y1 = [F.col(c) for c in box]
+    size = F.greatest(x1 - x0, y1 - y0, F.lit(2.0 ** (top - LEVELS)))
+    return df.withColumn("_level", F.least(F.ceil(F.log2(size)).cast("int"), F.lit(top)))
+
+
+def box_cells(df: DataFrame, box: list[str]) -> DataFrame:
+    """A row for each cell of ``_level`` that a box touches."""
+    side = F.pow(F.lit(2.0), F.col("_level"))
+    lo_x, lo_y, hi_x, hi_y = [F.floor(F.col(c) / side) for c in box]
+    return (df.withColumn("_cx", F.explode(F.sequence(lo_x, hi_x)))
+            .withColumn("_cy", F.explode(F.sequence(lo_y, hi_y))))
+
+
 def box_overlap_join(left: DataFrame, left_box: list[str], right: DataFrame, right_box: list[str],
-                     cell: float, on: list[str] | None = None) -> DataFrame:
-    """Pairs of rows whose boxes meet (shared borders count), found through a grid of ``cell``-sized buckets.
+                     on: list[str] | None = None) -> DataFrame:
+    """Pairs of rows whose boxes meet (shared borders count), in any unit and of any mix of sizes.
 
-    An equi-join on the bucket; a pair that shares several buckets is kept only in
-    the one that holds the lower corner of the common box. ``cell`` should be about
-    the size of the larger boxes: a box is copied to each bucket it covers.
+    Each box lies in the cells of the level of its own size, and looks for larger ones in the cells that it
+    touches on the levels above: an equi-join on level and cell. A pair is kept only in the cell that holds the
+    lower corner of the common box. A box has 4 * (LEVELS + 1) copies at most.
     """
     on = on or []
-
-    def bucketed(df: DataFrame, box: list[str]) -> DataFrame:
-        lo_x, lo_y, hi_x, hi_y = [F.floor(F.col(c) / cell) for c in box]
-        return (df.withColumn("_cx", F.explode(F.sequence(lo_x, hi_x)))
-                .withColumn("_cy", F.explode(F.sequence(lo_y, hi_y))))
+    sizes = [df.select(F.greatest(F.col(x1) - F.col(x0), F.col(y1) - F.col(y0)).alias("_size")) for df, (x0, y0, x1, y1) in ((left, left_box), (right, right_box))]
+    largest = sizes[0].union(sizes[1]).agg(F.max("_size")).first()[0]
+    top = math.ceil(math.log2(largest)) if largest and math.isfinite(largest) else 0
 
     lx0, ly0, lx1, ly1 = [F.col(c) for c in left_box]
     rx0, ry0, rx1, ry1 = [F.col(c) for c in right_box]
     meet = (lx0 <= rx1) & (rx0 <= lx1) & (ly0 <= ry1) & (ry0 <= ly1)
-    home = ((F.floor(F.greatest(lx0, rx0) / cell) == F.col("_cx"))
-            & (F.floor(F.greatest(ly0, ry0) / cell) == F.col("_cy")))
-    pairs = bucketed(left, left_box).join(bucketed(right, right_box), [*on, "_cx", "_cy"])
-    return pairs.filter(meet & home).drop("_cx", "_cy")
+    side = F.pow(F.lit(2.0), F.col("_level"))
+    home = ((F.floor(F.greatest(lx0, rx0) / side) == F.col("_cx"))
+            & (F.floor(F.greatest(ly0, ry0) / side) == F.col("_cy")))
+
+    def up(df: DataFrame, box: list[str], first: int) -> DataFrame:
+        """The box on its own level or the next (``first`` 0 or 1), and on all above."""
+        levelled = box_levels(df, box, top).filter(F.col("_level") + first <= top)
+        return box_cells(levelled.withColumn("_level", F.explode(F.sequence(F.col("_level") + first, F.lit(top)))), box)
+
+    def own(df: DataFrame, box: list[str]) -> DataFrame:
+        return box_cells(box_levels(df, box, top), box)
+
+    keys = [*on, "_level", "_cx", "_cy"]
+    not_smaller = up(left, left_box, 0).join(own(right, right_box), keys).filter(meet & home)
+    smaller = up(right, right_box, 1).join(own(left, left_box), keys).filter(meet & home)
+    return not_smaller.unionByName(smaller).drop("_level", "_cx", "_cy")
 
 
-def scenes_meeting_rois(scenes: DataFrame, scene_box: list[str], rois: DataFrame, roi_box: list[str],
-                        cell: float) -> DataFrame:
+def scenes_meeting_rois(scenes: DataFrame, scene_box: list[str], rois: DataFrame, roi_box: list[str]) -> DataFrame:
     """Scenes whose footprint meets the box of any region.
 
     Footprints repeat from visit to visit, so each different one is looked up once.
     """
-    met = box_overlap_join(scenes.select(*scene_box).distinct(), scene_box, rois.select(*roi_box).distinct(), roi_box, cell)
+    met = box_overlap_join(scenes.select(*scene_box).distinct(), scene_box, rois.select(*roi_box).distinct(), roi_box)
     return scenes.join(checked_broadcast(met.select(*scene_box).distinct()), scene_box, "left_semi")
 
 
 def iou_join(edges: DataFrame, poly_keys: list[str], footprints: DataFrame, raster_keys: list[str],
-             threshold: float = 1e-4, cell: float = 8.0, on: list[str] | None = None) -> DataFrame:
+             threshold: float = 1e-4, on: list[str] | None = None) -> DataFrame:
     """(polygon, raster, iou) with iou >= threshold, for boxes ``bx0 by0 bx1 by1``.
 
     Only polygons and rasters whose boxes meet are looked at. At a threshold of 0 or
@@ -124,7 +155,7 @@ def iou_join(edges: DataFrame, poly_keys: list[str], footprints: DataFrame, rast
     on = on or []
     box = ["bx0", "by0", "bx1", "by1"]
     bounds = materialise(polygon_bounds(edges, poly_keys))
-    pairs = box_overlap_join(bounds, ["px0", "py0", "px1", "py1"], footprints, box, cell, on)
+    pairs = box_overlap_join(bounds, ["px0", "py0", "px1", "py1"], footprints, box, on)
     n_chunks = F.ceil(F.col("n_edges") / EDGES_PER_CHUNK)
     split = checked_broadcast(bounds.filter(F.col("n_edges") > EDGES_PER_CHUNK)
                               .select(*poly_keys, n_chunks.alias("_chunks")))
