@@ -33,20 +33,21 @@ def _matrix(column: pa.ChunkedArray | pa.Array, *shape: int) -> np.ndarray:
     return flat.reshape(len(column), *shape)
 
 
-def _float_lists(values: np.ndarray) -> pa.Array:
+def _lists(values: np.ndarray) -> pa.Array:
     n, width = values.shape
     offsets = pa.array(np.arange(0, (n + 1) * width, width, dtype=np.int32))
-    return pa.ListArray.from_arrays(offsets, pa.array(values.ravel().astype(np.float32)))
+    return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
 
 
-def _append_lists(df: DataFrame, kept: list[str], name: str, fn: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+def _append_lists(df: DataFrame, kept: list[str], name: str, fn: Callable[[pa.RecordBatch], np.ndarray], kind: str = "float") -> DataFrame:
     """Add an array column computed from whole Arrow batches."""
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept) + f", {name} array<float>"
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept) + f", {name} array<{kind}>"
+    real = np.float32 if kind == "float" else np.float64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, _float_lists(fn(batch))], [*kept, name])
+            yield pa.RecordBatch.from_arrays([*columns, _lists(fn(batch).astype(real))], [*kept, name])
 
     return df.mapInArrow(run, schema)
 
@@ -76,21 +77,21 @@ def encode_pixels(features: DataFrame, weights: dict[str, np.ndarray], start_mon
     return embedded.withColumn("nan_input", F.isnan(F.element_at("embedding", 1)))
 
 
-def score_batches(df: DataFrame, fn: BatchFn, source: str = "embedding", name: str = "logits") -> DataFrame:
-    """Apply a model that maps a batch of rows to a batch of output rows."""
+def score_batches(df: DataFrame, fn: BatchFn, source: str = "embedding", name: str = "logits", kind: str = "float") -> DataFrame:
+    """Apply a model that maps a batch of rows to a batch of output rows, of ``float`` or ``double`` values."""
     kept = [c for c in df.columns if c != source]
 
     def run(batch: pa.RecordBatch) -> np.ndarray:
         lists = batch.column(batch.schema.get_field_index(source))
         return fn(_matrix(lists, len(lists.flatten()) // max(len(lists), 1)))
 
-    return _append_lists(df, kept, name, run)
+    return _append_lists(df, kept, name, run, kind)
 
 
 def score_head(df: DataFrame, weights: dict[str, np.ndarray], source: str = "embedding") -> DataFrame:
     """Logits of an MLP head."""
     shared = df.sparkSession.sparkContext.broadcast({n: w for n, w in weights.items() if n.startswith("head")})
-    return score_batches(df, lambda z: apply_head(z, shared.value), source)
+    return score_batches(df, lambda z: apply_head(z, shared.value), source, kind="double")
 
 
 def score_linear(df: DataFrame, weights: list[list[float]], bias: list[float] | None = None,
