@@ -23,4 +23,4 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from checks import aggregates, joins, scalars, scoring, sources, tiling  # noqa: F401
+    from checks import aggregates, joins, pipeline, scalars, scoring, sources, tiling  # noqa: F401

@@ -11,14 +11,21 @@ from pyspark.sql.window import Window
 
 from verdigrid.bands import CROPLAND_CLASS, NODATA_LABEL
 from verdigrid.functions import crs, geometry as geo
-from verdigrid.skew import checked_broadcast
 
 CELL = ["grid_row", "grid_col"]
 
 
 def attach_header(pixels: DataFrame, headers: DataFrame, keys: list[str]) -> DataFrame:
-    """Pixel rows with their raster's header columns; headers are broadcast after a size check."""
-    return pixels.join(checked_broadcast(headers), keys)
+    """Pixel rows with their raster's header columns; small header tables are broadcast by the planner or at run time."""
+    return pixels.join(headers, keys)
+
+
+def grid_cells(headers: DataFrame, keys: list[str]) -> DataFrame:
+    """Every cell (keys, grid_row, grid_col) of every raster; a row of a raster is listed at a time, rows are spread over tasks."""
+    filled = headers.filter((F.col("width") > 0) & (F.col("height") > 0))
+    rows = (filled.select(*keys, "width", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("height").cast("bigint") - 1)).alias("grid_row"))
+            .repartition(*keys, "grid_row"))
+    return rows.select(*keys, "grid_row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("width").cast("bigint") - 1)).alias("grid_col"))
 
 
 def scan_raster(pixels: DataFrame, headers: DataFrame, keys: list[str]) -> DataFrame:
@@ -125,11 +132,11 @@ def number_tiles(tiles: DataFrame, keys: list[str]) -> DataFrame:
 def tile_with_mask(pixels: DataFrame, mask: DataFrame, keys: list[str], tile_size: int) -> DataFrame:
     """Pixels of the tiles that hold any class, with the aligned class and the tile number.
 
-    The wide pixel rows are not shuffled for the tile filter while the table of
-    kept tiles passes its size check.
+    The wide pixel rows are not shuffled for the tile filter where the table of
+    kept tiles is small.
     """
     kept = number_tiles(tiles_with_mask(mask, keys, tile_size), keys)
-    tiled = tile_of_pixel(pixels, tile_size).join(checked_broadcast(kept), [*keys, "tile_row", "tile_col"])
+    tiled = tile_of_pixel(pixels, tile_size).join(kept, [*keys, "tile_row", "tile_col"])
     return tiled.join(mask.select(*keys, *CELL, "cls"), [*keys, *CELL], "left") \
         .withColumn("cls", F.coalesce("cls", F.lit(0)))
 
@@ -138,7 +145,7 @@ def tile_image_only(pixels: DataFrame, headers: DataFrame, keys: list[str], tile
     """All pixels with tile and tile number; the number follows from the header, without a sort."""
     across = F.ceil(F.col("width") / tile_size).cast("bigint")
     numbered = tile_of_pixel(pixels, tile_size).join(
-        checked_broadcast(headers.select(*keys, across.alias("_across"))), keys)
+        headers.select(*keys, across.alias("_across")), keys)
     return numbered.withColumn("tile_no", F.col("tile_row") * F.col("_across") + F.col("tile_col")).drop("_across")
 
 
@@ -159,7 +166,7 @@ def merge_tiles(grid: DataFrame, tiles: DataFrame, keys: list[str], order: str =
 def tile_offsets(tiles: DataFrame, headers: DataFrame, keys: list[str]) -> DataFrame:
     """Whole-pixel offsets of tiles from their origins and the reference header."""
     ref = headers.select(*keys, *[F.col(k).alias(f"_{k}") for k in ("a", "c", "e", "f")])
-    return (tiles.join(checked_broadcast(ref), keys)
+    return (tiles.join(ref, keys)
             .withColumns({"col_off": geo.pixel_offset(F.col("c"), F.col("_c"), F.col("_a")),
                           "row_off": geo.pixel_offset(F.col("f"), F.col("_f"), F.col("_e"))})
             .drop("_a", "_c", "_e", "_f"))

@@ -19,10 +19,14 @@ def mask_qa(scenes: DataFrame, bands: list[str] = S2_BANDS, qa: str = "qa60") ->
     return scenes.withColumns({b: F.when(ok, F.col(b)) for b in bands})
 
 
-def filter_dates(scenes: DataFrame, start: str, end: str, ts: str = "ts") -> DataFrame:
-    """Half-open range of literal dates, which the scan can use to skip files and row groups."""
+def filter_dates(scenes: DataFrame, start: str, end: str, ts: str = "ts", year: str | None = None) -> DataFrame:
+    """Half-open range of literal dates, which the scan can use to skip row groups.
+
+    ``year`` names a partition column that holds the calendar year of ``ts``: folders of other years are not opened.
+    """
     kind = scenes.schema[ts].dataType.simpleString()
-    return scenes.filter((F.col(ts) >= F.lit(start).cast(kind)) & (F.col(ts) < F.lit(end).cast(kind)))
+    inside = scenes.filter((F.col(ts) >= F.lit(start).cast(kind)) & (F.col(ts) < F.lit(end).cast(kind)))
+    return inside if year is None else inside.filter(F.col(year).between(int(start[:4]), int(end[:4])))
 
 
 def filter_s1_mode(scenes: DataFrame, mode: str = "IW", resolution: int = 10) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigrid.functions import crs, geometry as geo
 from verdigrid.session import materialise
-from verdigrid.skew import HOT_ROWS, checked_broadcast, row_numbers
+from verdigrid.skew import HOT_ROWS, row_numbers
 
 EDGE = ["x0", "y0", "x1", "y1"]
 # Levels of boxes that the overlap join tells apart.
@@ -138,7 +138,7 @@ def scenes_meeting_rois(scenes: DataFrame, scene_box: list[str], rois: DataFrame
     Footprints repeat from visit to visit, so each different one is looked up once.
     """
     met = box_overlap_join(scenes.select(*scene_box).distinct(), scene_box, rois.select(*roi_box).distinct(), roi_box)
-    return scenes.join(checked_broadcast(met.select(*scene_box).distinct()), scene_box, "left_semi")
+    return scenes.join(met.select(*scene_box).distinct(), scene_box, "left_semi")
 
 
 def iou_join(edges: DataFrame, poly_keys: list[str], footprints: DataFrame, raster_keys: list[str],
@@ -157,8 +157,7 @@ def iou_join(edges: DataFrame, poly_keys: list[str], footprints: DataFrame, rast
     bounds = materialise(polygon_bounds(edges, poly_keys))
     pairs = box_overlap_join(bounds, ["px0", "py0", "px1", "py1"], footprints, box, on)
     n_chunks = F.ceil(F.col("n_edges") / EDGES_PER_CHUNK)
-    split = checked_broadcast(bounds.filter(F.col("n_edges") > EDGES_PER_CHUNK)
-                              .select(*poly_keys, n_chunks.alias("_chunks")))
+    split = bounds.filter(F.col("n_edges") > EDGES_PER_CHUNK).select(*poly_keys, n_chunks.alias("_chunks"))
     chunk = F.coalesce(F.pmod(F.xxhash64(*EDGE), F.col("_chunks")), F.lit(0).cast("bigint"))
     chunked = edges.select(*poly_keys, *EDGE).join(split, poly_keys, "left").withColumn("_chunk", chunk)
     common = (pairs.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks.cast("bigint") - 1)))
@@ -222,6 +221,20 @@ def clip_to_rois(pixels: DataFrame, edges: DataFrame, poly_keys: list[str],
     return pixels.join(cells, ["grid_row", "grid_col"], "left_semi")
 
 
+def clip_images(cells: DataFrame, headers: DataFrame, edges: DataFrame, keys: list[str], poly_keys: list[str]) -> DataFrame:
+    """Cells of each raster inside of any of its polygons, every raster on a grid of its own.
+
+    ``poly_keys`` name a polygon and are among or beside the raster's ``keys``; the keys that both have say which polygons belong
+    to a raster. ``edges`` and ``headers`` carry ``epsg``: polygons are brought to the raster's system first.
+    """
+    shared = [k for k in keys if k in poly_keys]
+    own = headers.select(*keys, *geo.AFFINE, F.col("epsg").alias("_epsg"))
+    placed = reproject_edges(edges.join(own, shared), F.col("_epsg"))
+    every = list(dict.fromkeys([*keys, *poly_keys]))
+    inside = polygon_cells(placed, every, geo.affine()).select(*keys, "grid_row", "grid_col")
+    return cells.join(inside, [*keys, "grid_row", "grid_col"], "left_semi")
+
+
 def mosaic_first(pixels: DataFrame, keys: list[str], rank: Column, nodata: Column) -> DataFrame:
     """Value of the best-ranked raster with data per polygon cell; cells without any are left out."""
     valid = pixels.filter(F.col("value").isNotNull() & (F.col("value") != nodata))

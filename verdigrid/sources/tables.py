@@ -22,7 +22,7 @@ def rename_bands(scenes: DataFrame, codes: list[str] = S2_CODES, bands: list[str
 
 
 def scan_s2_scenes(spark: SparkSession, path: str) -> DataFrame:
-    """Optical observations from Parquet. Filters on season or date prune partitions and row groups."""
+    """Optical observations from Parquet. Filters on a partition column skip folders, those on the date skip row groups."""
     return rename_bands(spark.read.parquet(path))
 
 
