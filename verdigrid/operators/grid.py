@@ -63,10 +63,11 @@ def align_nearest(target: DataFrame, target_t: dict[str, Column], mask: DataFram
     """
     keys = keys or []
     x, y = geo.pixel_center(F.col("grid_row"), F.col("grid_col"), target_t)
+    located = target.withColumns({"_x": x, "_y": y})
     if target_epsg is not None:
-        x, y = crs.reproject(x, y, target_epsg, mask_epsg)
+        located = crs.reprojected(located, [("_x", "_y")], target_epsg, mask_epsg)
     row, col = geo.cell_of(F.col("_x"), F.col("_y"), mask_t)
-    located = target.withColumns({"_x": x, "_y": y}).withColumns({"_src_row": row, "_src_col": col})
+    located = located.withColumns({"_src_row": row, "_src_col": col})
     source = mask.select(*keys, F.col("grid_row").alias("_src_row"), F.col("grid_col").alias("_src_col"), "cls")
     return (located.join(source, [*keys, "_src_row", "_src_col"], "left")
             .select(*target.columns, F.coalesce("cls", F.lit(0)).alias("cls")))

@@ -70,9 +70,7 @@ def pixel_bounds(pixels: DataFrame, keys: list[str]) -> DataFrame:
 
 def reproject_edges(edges: DataFrame, target: Column, source: str = "epsg") -> DataFrame:
     """Edges with both ends in another coordinate system."""
-    x0, y0 = crs.reproject(F.col("x0"), F.col("y0"), F.col(source), target)
-    x1, y1 = crs.reproject(F.col("x1"), F.col("y1"), F.col(source), target)
-    return edges.withColumns({"x0": x0, "y0": y0, "x1": x1, "y1": y1, source: target})
+    return crs.reprojected(edges, [("x0", "y0"), ("x1", "y1")], F.col(source), target).withColumn(source, target)
 
 
 def settled(iou: Column) -> Column:
@@ -221,16 +219,19 @@ def clip_to_rois(pixels: DataFrame, edges: DataFrame, poly_keys: list[str],
     return pixels.join(cells, ["grid_row", "grid_col"], "left_semi")
 
 
-def clip_images(cells: DataFrame, headers: DataFrame, edges: DataFrame, keys: list[str], poly_keys: list[str]) -> DataFrame:
-    """Cells of each raster inside of any of its polygons, every raster on a grid of its own.
+def edges_of_images(edges: DataFrame, headers: DataFrame, keys: list[str], poly_keys: list[str]) -> DataFrame:
+    """Polygon edges in the system of each raster that they belong to: one that shares the keys that both have.
 
-    ``poly_keys`` name a polygon and are among or beside the raster's ``keys``; the keys that both have say which polygons belong
-    to a raster. ``edges`` and ``headers`` carry ``epsg``: polygons are brought to the raster's system first.
+    ``edges`` and ``headers`` carry ``epsg``. Write the table before work that filters it.
     """
-    shared = [k for k in keys if k in poly_keys]
-    own = headers.select(*keys, *geo.AFFINE, F.col("epsg").alias("_epsg"))
-    placed = reproject_edges(edges.join(own, shared), F.col("_epsg"))
+    own = headers.select(*keys, F.col("epsg").alias("_epsg"))
+    return reproject_edges(edges.join(own, [k for k in keys if k in poly_keys]), F.col("_epsg")).drop("_epsg")
+
+
+def clip_images(cells: DataFrame, headers: DataFrame, edges: DataFrame, keys: list[str], poly_keys: list[str]) -> DataFrame:
+    """Cells of each raster inside of any of its polygons, every raster on a grid of its own; ``edges`` as of ``edges_of_images``."""
     every = list(dict.fromkeys([*keys, *poly_keys]))
+    placed = edges.select(*every, *EDGE).join(headers.select(*keys, *geo.AFFINE), keys)
     inside = polygon_cells(placed, every, geo.affine()).select(*keys, "grid_row", "grid_col")
     return cells.join(inside, [*keys, "grid_row", "grid_col"], "left_semi")
 

@@ -44,27 +44,29 @@ def run_pipeline(s2: DataFrame, s1: DataFrame, headers: DataFrame, edges: DataFr
     epsg) in any system, the scenes are keyed by roi, idx, grid_row, grid_col, and ``cover_*`` are class rasters as for
     ``crop_by_polygons``. For every image and season: cells inside of its polygon, monthly medians of both sensors, classes
     cropped to the polygon and aligned to the image, pairing, scoring, full label grids and an audit row with the image's
-    status. Medians, classes, labels and audit rows are each written once and read from there. ``options`` go to ``build_cube``.
+    status. Medians, cells with their classes, labels and audit rows are each written once and read from there. ``options`` go to ``build_cube``.
     """
     spark = s2.sparkSession
     keys = [*IMAGE, *grid.CELL]
-    cells = grid.scan_raster(grid.grid_cells(headers, IMAGE), headers, IMAGE).select(*keys, "lat", "lon")
-    inside = spatial.clip_images(cells.select(*keys), headers, edges, IMAGE, IMAGE)
+    listed = grid.grid_cells(headers, IMAGE)
+    own_edges = _kept(spatial.edges_of_images(edges, headers, IMAGE, IMAGE), f"{out}/edges")
+    inside = spatial.clip_images(listed, headers, own_edges, IMAGE, IMAGE)
     cube = _kept(build_cube(s2, s1, inside, keys, first_year, last_year, **options), f"{out}/cube", "season_year")
 
-    shapes = spatial.reproject_edges(edges, F.lit(cover_epsg))
+    shapes = _kept(spatial.reproject_edges(edges, F.lit(cover_epsg)), f"{out}/cover_edges")
     cover = _kept(crop_by_polygons(shapes, IMAGE, cover_headers, cover_pixels, cover_grid, threshold)
                   .select(*keys, F.col("value").alias("cls")), f"{out}/cover")
-    placed = grid.attach_header(cells.select(*keys), headers.select(*IMAGE, *geo.AFFINE, "epsg"), IMAGE)
+    placed = grid.attach_header(grid.scan_raster(listed, headers, IMAGE), headers.select(*IMAGE, *geo.AFFINE, "epsg"), IMAGE)
     aligned = grid.align_nearest(placed, geo.affine(), cover, cover_grid, F.col("epsg"), F.lit(cover_epsg), IMAGE)
+    cells = _kept(aligned.select(*keys, "lat", "lon", "cls"), f"{out}/cells")
 
     def by_season(df: DataFrame) -> DataFrame:
         return sinks.feature_seasons(df, first_year, last_year)
 
     images = by_season(headers.select(*IMAGE, "width", "height"))
     masks = cover_names(by_season(cover.select(*IMAGE).distinct()))
-    predictions, audit = run_images(images.select(*RUN).distinct(), image_names(images), masks, by_season(cells), cube,
-                                    by_season(aligned.select(*keys, "cls")), weights, n_classes, options.get("bands", BANDS),
+    predictions, audit = run_images(images.select(*RUN).distinct(), image_names(images), masks, by_season(cells.drop("cls")), cube,
+                                    by_season(cells.select(*keys, "cls")), weights, n_classes, options.get("bands", BANDS),
                                     tile_size=tile_size, fitted=fitted)
     sinks.append_audit(audit, f"{out}/audit")
     written = sinks.read_audit(spark, f"{out}/audit")
