@@ -251,6 +251,21 @@ def test_group_keys_meet_all_links():
             assert len(keys[0] & keys[1]) >= shingle_join.needed(np.array(sorted(small), np.uint64))
 
 
+def test_isolated_pairs_across_size_classes(spark):
+    """Pairs that link with each other only, on both sides of every small class boundary; the larger one may share fewer keys than its own class asks."""
+    rng = random.Random(9)
+    sizes = [(b - k, n) for b in (8, 12, 16, 24, 36) for k in (1, 2) for n in range(b, (b - k) * 5 // 4 + 1)]
+    rows = []
+    for small, large in sizes:
+        for _ in range(60):
+            words = [f"w{rng.randrange(1 << 40)}" for _ in range(large + 4)]
+            rows += [(2 * len(rows), " ".join(words[:small + 4])), (2 * len(rows) + 1, " ".join(words))]
+    out = shingle_join.near_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    sets = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    assert all(5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) for (a, _), (b, _) in zip(rows[::2], rows[1::2]))
+    assert {r.doc_id: r.component_id for r in out} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

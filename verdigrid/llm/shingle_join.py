@@ -75,6 +75,14 @@ def groups_of(size_class: int) -> tuple[int, int]:
     return differ + 3 + differ // 8, differ
 
 
+def classes_of(n: int) -> list[int]:
+    """The size classes of the pairs that a set of ``n`` may be in: its own, and the one below if a smaller partner may be there."""
+    if n < 4:
+        return []  # such sets link with equal ones only
+    top = int(np.searchsorted(SIZES, n, "right")) - 1
+    return [top, top - 1] if top and 4 * n <= 5 * (int(SIZES[top]) - 1) else [top]
+
+
 def group_keys(own: np.ndarray) -> np.ndarray:
     """Keys under which a document meets all that it may link with and that are not equal to it.
 
@@ -82,14 +90,8 @@ def group_keys(own: np.ndarray) -> np.ndarray:
     group's shingles. Of at least ``groups - differ`` groups that a pair shares unchanged, one is not empty unless the
     document has that many empty groups; only then its empty groups are keys too.
     """
-    n = len(own)
-    if n < 4:
-        return np.zeros(0, np.int64)  # such sets link with equal ones only
-    top = int(np.searchsorted(SIZES, n, "right")) - 1
     out = []
-    for k in (top, top - 1):
-        if k < 0 or k < top and 4 * n > 5 * (int(SIZES[k + 1]) - 1):
-            continue
+    for k in classes_of(len(own)):
         groups, differ = groups_of(k)
         place = ((own >> np.uint64(20)) % np.uint64(groups)).astype(np.int64)
         sums = np.zeros(groups, np.uint64)
@@ -101,14 +103,16 @@ def group_keys(own: np.ndarray) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
-def needed(own: np.ndarray) -> int:
-    """Keys that a document shares at least with each larger one that it links with and is not equal to: its unchanged, filled groups."""
-    n = len(own)
-    if n < 4:
-        return 1
-    groups, differ = groups_of(int(np.searchsorted(SIZES, n, "right")) - 1)
-    filled = len(np.unique((own >> np.uint64(20)) % np.uint64(groups)))
-    return max(1, filled - differ)
+def needed(own: np.ndarray, smaller: bool = False) -> int:
+    """Keys that a document shares at least with each larger one that it links with and is not equal to: its unchanged, filled groups.
+
+    With ``smaller``, with each that it links with, also of the class below: there it has other groups, and often fewer.
+    """
+    shared = []
+    for k in classes_of(len(own))[:None if smaller else 1]:
+        groups, differ = groups_of(k)
+        shared.append(len(np.unique((own >> np.uint64(20)) % np.uint64(groups))) - differ)
+    return max(1, min(shared, default=1))
 
 
 def counts_of(own: np.ndarray) -> bytes:
@@ -158,15 +162,16 @@ class Tree:
 
 
 def profiles(docs: DataFrame, text: str) -> DataFrame:
-    """(doc_id, n, sig, keys, need, counts) of every row: the set's size, digest, meeting keys, how many a link shares, and group counts."""
+    """(doc_id, n, sig, keys, need, least, counts) of every row: the set's size, digest, meeting keys, how many a link
+    with a larger set and any link shares, and group counts."""
     def run(batch: dict, hashes: Hashes = Hashes()) -> dict:
         if len(hashes) > MEMORY:
             hashes.clear()
         sets = [shingles(t, hashes) for t in batch["text"]]
         return {"doc_id": batch["doc_id"], "n": list(map(len, sets)), "sig": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                "keys": [group_keys(s) for s in sets], "need": list(map(needed, sets)), "counts": [counts_of(s) for s in sets]}
+                "keys": [group_keys(s) for s in sets], "need": list(map(needed, sets)), "least": [needed(s, smaller=True) for s in sets], "counts": [counts_of(s) for s in sets]}
 
-    return map_batches(docs.select("doc_id", F.col(text).alias("text")), run, "doc_id bigint, n bigint, sig binary, keys array<bigint>, need bigint, counts binary", rows=512)
+    return map_batches(docs.select("doc_id", F.col(text).alias("text")), run, "doc_id bigint, n bigint, sig binary, keys array<bigint>, need bigint, least bigint, counts binary", rows=512)
 
 
 MEETING = "key bigint, rep bigint, pivot bigint"
@@ -407,10 +412,10 @@ def near_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     own = written(profiles(docs, text), "profiles")
     linkable = own.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     one = lambda *of: linkable.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct(*of), "doc_id").alias("of")).select("rep", "of.*")
-    reps = written(one("n", "need", "counts"), "classes")
+    reps = written(one("n", "need", "least", "counts"), "classes")
     met = written(meetings(one("keys")), "meetings")
-    # a document that shares fewer keys than a link must, with all others together, has none
-    enough = (met.groupBy("rep").agg(F.count(F.lit(1)).alias("m")).join(reps.select("rep", "need"), "rep").filter(F.col("m") >= F.col("need"))
+    # a document that shares fewer keys than a link must, also one with a smaller class, with all others together, has none
+    enough = (met.groupBy("rep").agg(F.count(F.lit(1)).alias("m")).join(reps.select("rep", "least"), "rep").filter(F.col("m") >= F.col("least"))
               .select("rep").distinct())
     met = written(met.join(enough, "rep", "left_semi"), "meetings")
     texts = docs.select("doc_id", F.col(text).alias("text")).join(met.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
