@@ -305,6 +305,18 @@ def test_main_text():
     assert len(main_text.main_text("<article>" + "<p>word, word. </p>" * 20_000)) == 20_000 * 13 - 2
 
 
+@pytest.mark.parametrize("around", [
+    '<body class="has-sidebar">{}</body>', '<body class="search-results single">{}</body>', '<html class="no-ads"><body id="header">{}</body></html>',
+    '<body><div id="content" class="with-sidebar">{}</div></body>', '<body><div class="content-sidebar-wrap">{}</div></body>',
+    '<body><div class="sidebar">{}</div></body>', '<body><form>{}</form></body>'])
+@pytest.mark.parametrize("article", ["<article>", '<article class="post tags-x">', '<article class="comment widget">', '<main class="search">'])
+def test_wrappers_named_like_surroundings(around, article):
+    inside = '<h1>Title</h1><p>Some words, and more of them.</p><div class="share-buttons">Share, please, now.</div><div class="tags-box">a, b, c</div>'
+    remarks = '<section class="comment-list"><article class="comment"><p>Nice article, I think, really.</p></article></section>'
+    page = around.format(f"<nav>Menu, menu.</nav>{article}{inside}{remarks}</{article[1:].split()[0].strip('>')}>{remarks}")
+    assert main_text.main_text(page) == "Title\n\nSome words, and more of them."
+
+
 def test_pages_query(spark, sf):
     out = queries.op5_html_extraction(spark, sf).collect()
     source = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}

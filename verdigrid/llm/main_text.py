@@ -21,12 +21,21 @@ BLOCKS = {"html", "body", "main", "article", "section", "div", "header", "hgroup
           "center", *APART}
 #: What an opening tag closes if it is the innermost block.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-#: Words in class, id or role that mark what surrounds an article, and what holds one.
-AROUND = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adv|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|sidebar|side|menu|nav|"
-                    r"navbar|navigation|breadcrumbs?|comments?|commentlist|disqus|repl(?:y|ies)|responses?|discussion|share|sharing|social|related|recommend\w*|"
-                    r"newsletter|subscri\w*|signup|login|search|footer|header|masthead|topbar|toolbar|widget|pagination|pager|copyright|legal|tags|contentinfo|"
-                    r"complementary|outbrain|taboola)(?:$|[\s_-])", re.I)
+#: Words in class, id or role that mark what surrounds an article, and what holds one. A name counts as a whole: all its words are
+#: such, or say what form or place the thing has, so that 'with-sidebar' and 'search-results' mark nothing.
+_REMARK = r"comments?|commentlist|disqus|repl(?:y|ies)|responses?|discussion"
+_AROUND = (r"ads?|advert\w*|adv|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|sidebar|side|menu|nav|"
+           rf"navbar|navigation|breadcrumbs?|{_REMARK}|share|sharing|social|related|recommend\w*|"
+           r"newsletter|subscri\w*|signup|login|search|footer|header|masthead|topbar|toolbar|widget|pagination|pager|copyright|legal|tags|contentinfo|"
+           r"complementary|outbrain|taboola")
+_FORM = (r"list|items?|box|block|bar|buttons?|links?|icons?|wrap|wrapper|container|inner|area|section|form|posts|articles|stories|site|main|global|primary|"
+         r"secondary|mobile|top|bottom|[0-9]+")
+AROUND, REMARK = (re.compile(rf"(?:^|\s)(?:(?:{_FORM})[_-]+)*(?:{words})(?:[_-]+(?:{_AROUND}|{_FORM}))*(?:$|\s)", re.I) for words in (_AROUND, _REMARK))
 WITHIN = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|story|content|main|text|body)(?:$|[\s_-])", re.I)
+#: Elements that no class word marks as apart; the last two take an article back out of a block that a class word, or a form, set apart.
+WHOLE, RESETS = {"html", "body", "article", "main"}, {"article", "main"}
+#: How far a block stands apart: by a class word or a form around it, or for good.
+BY_NAME, FOR_GOOD = 1, 2
 #: Smoothing over neighbouring blocks, and the share of the spread of scores that a path must reach on a page without an article element.
 SMOOTH = np.array([0.1, 0.2, 0.4, 0.2, 0.1])
 SPREAD = 0.5
@@ -40,7 +49,7 @@ _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'(
 class Element(NamedTuple):
     tag: str
     path: str
-    apart: bool
+    apart: int  # 0, BY_NAME or FOR_GOOD
     article: int  # number of the article element around it, 0 for none
     block: int  # number of the block that its text goes to
     link: bool
@@ -60,7 +69,7 @@ def parse(page: str) -> list[tuple[Block, str]]:
     the innermost open block; text after an inner block begins a new one.
     """
     blocks: list[Block] = []
-    stack = [Element("", "", False, 0, -1, False)]
+    stack = [Element("", "", 0, 0, -1, False)]
     numbers = {"article": 0, "block": 0}
     current: list = [None, -1]  # the block that text goes to now, and its number
 
@@ -124,7 +133,15 @@ def parse(page: str) -> list[tuple[Block, str]]:
             numbers["block"] += 1
         above = stack[-1]
         named = " ".join(a or b or c for a, b, c in _NAMED.findall(found[3])) if found[3] else ""
-        apart = above.apart or tag in APART or tag == "header" and not above.article or bool(named and block and AROUND.search(named))
+        apart = above.apart
+        if apart == BY_NAME and tag in RESETS and not above.article:
+            apart = 0
+        if tag == "form" or named and block and tag not in WHOLE and AROUND.search(named):
+            apart = max(apart, BY_NAME)
+        # an article that bears a remark's name is one only inside the article that it is about
+        remark = bool(named and block and REMARK.search(named)) and (tag not in WHOLE or tag == "article" and any(e.tag == tag for e in stack))
+        if tag in APART and tag != "form" or tag == "header" and not above.article or remark:
+            apart = FOR_GOOD
         article = above.article
         if not article and not apart and (tag in ("article", "main") or block and tag not in ("html", "body") and named and WITHIN.search(named)):
             numbers["article"] += 1
