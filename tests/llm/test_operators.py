@@ -317,6 +317,23 @@ def test_wrappers_named_like_surroundings(around, article):
     assert main_text.main_text(page) == "Title\n\nSome words, and more of them."
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<p class="text">First words, and some more.</p><p class="text">Second words, and some more.</p>', "First words, and some more.\n\nSecond words, and some more."),
+    ('<div class="entry"><p>First words, and some more.</p></div><div class="entry"><p>Second words, and others, longer.</p></div>',
+     "First words, and some more.\n\nSecond words, and others, longer."),
+    ('<section class="content">First words, and some more.</section><section class="content">Second, longer ones, and more.</section>',
+     "First words, and some more.\n\nSecond, longer ones, and more."),
+    ('<p class="text">First words, and some more.</p><p>Second words, and some more.</p>', "First words, and some more.\n\nSecond words, and some more."),
+    ('<article><h2><a href=x>Linked title</a></h2><p>Some words, and more.</p><ul><li><a href=y>Linked item</a></li></ul></article>',
+     "Linked title\n\nSome words, and more.\n\nLinked item"),
+    ('<article><p>First words, and some more.</p></article><article><p>Second words, and others, longer.</p></article>',
+     "First words, and some more.\n\nSecond words, and others, longer."),
+    ('<div class="content"><p>Short one.</p></div><p class="text">First words, and some more.</p><p class="text">Second words, and some more.</p>',
+     "Short one.\n\nFirst words, and some more.\n\nSecond words, and some more.")])
+def test_all_marked_parts_stay(page, text):
+    assert main_text.main_text(f"<body><nav><a href=z>Menu, menu.</a></nav>{page}<footer>Foot, foot.</footer></body>") == text
+
+
 def test_pages_query(spark, sf):
     out = queries.op5_html_extraction(spark, sf).collect()
     source = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}

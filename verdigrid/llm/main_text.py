@@ -38,6 +38,8 @@ WHOLE, RESETS = {"html", "body", "article", "main"}, {"article", "main"}
 BY_NAME, FOR_GOOD = 1, 2
 #: Smoothing over neighbouring blocks, and the share of the spread of scores that a path must reach on a page without an article element.
 SMOOTH = np.array([0.1, 0.2, 0.4, 0.2, 0.1])
+#: Blocks that links may fill without making them a menu, if a container holds them.
+LISTED = re.compile(r"/(?:h[1-6]|hgroup|ul|ol|li|dl|dt|dd)(?=[/.]|$)")
 SPREAD = 0.5
 MAX_LINKS = 0.6
 PUNCTUATION = re.compile(r"[.,;:!?…。、؟¿¡]")
@@ -50,7 +52,7 @@ class Element(NamedTuple):
     tag: str
     path: str
     apart: int  # 0, BY_NAME or FOR_GOOD
-    article: int  # number of the article element around it, 0 for none
+    article: int  # number of the container around it: above 0 for an article or main element, below for a class name, 0 for none
     block: int  # number of the block that its text goes to
     link: bool
 
@@ -143,9 +145,10 @@ def parse(page: str) -> list[tuple[Block, str]]:
         if tag in APART and tag != "form" or tag == "header" and not above.article or remark:
             apart = FOR_GOOD
         article = above.article
-        if not article and not apart and (tag in ("article", "main") or block and tag not in ("html", "body") and named and WITHIN.search(named)):
+        marked = tag in RESETS
+        if not article and not apart and (marked or tag in ("div", "section") and named and WITHIN.search(named)):
             numbers["article"] += 1
-            article = numbers["article"]
+            article = numbers["article"] if marked else -numbers["article"]
         path = f"{above.path}/{tag}{'.' + re.sub('[0-9]+', '0', named) if named else ''}" if block else above.path
         stack.append(Element(tag, path, apart, article, numbers["block"] if block else above.block, above.link or tag == "a"))
     out = []
@@ -186,19 +189,27 @@ def _places(blocks: list[tuple[Block, str]]) -> dict[str, list[int]]:
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in order, joined by an empty line.
 
-    Paths are scored as a whole, so that a short paragraph stays with the long ones of its path. If the page marks an
-    article, paths of the one with the highest scores stay unless they are links; else paths above a share of the spread.
+    Paths are scored as a whole, so that a short paragraph stays with the long ones of its path; those above a share of the
+    spread pass. If the page marks containers, all stay that have a passing path, and the best one; of these all blocks
+    stay but paths of links that are no headings or lists. A class name alone does not shut out what passes elsewhere.
     """
     blocks = parse(page or "")
     if not blocks:
         return ""
     score = path_ratios(blocks)
     article = np.array([b.article for b, _ in blocks])
-    if score[article > 0].sum() > 0:
-        best = max(set(article[article > 0].tolist()), key=lambda k: (score[article == k].sum(), -k))
-        kept = (article == best) & (score > 0)
+    passing = (score > 0) & (score >= SPREAD * score.std())
+    if score[article != 0].sum() > 0:
+        sums: dict[int, float] = {}
+        for k, own in zip(article.tolist(), score.tolist()):
+            sums[k] = sums.get(k, 0) + own
+        chosen = {k for k in article[passing].tolist() if k} | {max((k for k in sums if k), key=lambda k: (sums[k], -abs(k)))}
+        inside = np.array([k in chosen for k in article.tolist()])
+        listed = np.array([not b.apart and bool(LISTED.search(b.path)) for b, _ in blocks])
+        elements = any(k > 0 and v > 0 for k, v in sums.items())
+        kept = inside & ((score > 0) | listed) | passing & (article == 0) & (not elements)
     else:
-        kept = (score > 0) & (score >= SPREAD * score.std())
+        kept = passing
     return "\n\n".join(t for (_, t), k in zip(blocks, kept) if k)
 
 
