@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -289,6 +290,42 @@ def test_licences(spark):
     assert licences.scan_licences(empty(spark)).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+{}Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+{}Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{}Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE."""
+
+
+def test_published_licences(spark):
+    texts = [(MIT, "MIT-text"), (APACHE, "Apache-2.0,Apache-2.0-text"), (GPL, "GPL-3.0-notice"), ("Copies are here. Released under the MIT License. More.", "MIT"),
+             *[(BSD.format(*marks), "BSD-text") for marks in (["1. ", "2. ", "3. "], ["* "] * 3, ["(a) ", "(b) ", "(c) "], ["\n1. ", "\n2. ", "\n3. "])]]
+    rows, expected = [], []
+    for text, name in texts:
+        for width in (10_000, 70, 40):
+            for mark in ("", "# ", " * ", "// ", "dnl "):
+                lines = [x for line in text.split("\n") for x in textwrap.wrap(line, width) or [""]]
+                whole = "\n".join(["/*"] * (mark == " * ") + [(mark + x).rstrip() for x in lines] + [" */"] * (mark == " * "))
+                rows.append((len(rows), whole + "\n\nint x = 0;"))
+                expected.append(name)
+    out = licences.scan_licences(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert [r.licences for r in sorted(out, key=lambda r: r.doc_id)] == expected
+
+
 # 5: main text
 
 def test_main_text():
