@@ -68,6 +68,21 @@ def test_cube_with_hot_pixel(spark, sf):
     assert cube(200) == whole
 
 
+def test_medians_look_for_hot_pixels_by_default(spark, monkeypatch):
+    """A pixel-month above the limit is not gathered into one list by a caller that gives no limit."""
+    one = spark.range(skew.HOT_ROWS + 1000).selectExpr("1L AS pixel_id", "TIMESTAMP '2019-10-03' AS ts", "0D AS cloud_pct", "0 AS qa60", "CAST(id % 1000 AS DOUBLE) AS red",
+                                                    "'IW' AS instrument_mode", "array('VV', 'VH') AS pols", "10 AS resolution_m", "0D AS vv_db", "0D AS vh_db")
+    seen = []
+    plain = skew.median_of_hot
+    for module in (skew, stack):
+        monkeypatch.setattr(module, "median_of_hot", lambda *a: seen.append(1) or plain(*a))
+    assert [r.red for r in stack.optical_composite(one, ["pixel_id"], bands=["red"]).collect()] == [499.5]
+    empty = one.limit(0)
+    cube = stack.build_cube(one, empty, one.select("pixel_id").limit(1), ["pixel_id"], 2019, 2019, bands=["red"])
+    assert [r.red for r in cube.collect() if r.red is not None] == [499.5]
+    assert len(seen) == 2
+
+
 def test_polygon_cells_of_hot_rows(spark, sf):
     from checks.views import edges
     plain = {tuple(r) for r in spatial.polygon_cells(edges(spark, sf), ["poly"], hot_rows=None).collect()}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from verdigrid.bands import BANDS, FILL_BAND, MONTHS, SEASON_START_MONTH, wide_name
 from verdigrid.functions import calendar, names
-from verdigrid.skew import exact_median
+from verdigrid.skew import HOT_ROWS, exact_median
 
 
 def with_season(obs: DataFrame, ts: str = "ts", start_month: int = SEASON_START_MONTH,
@@ -17,10 +17,10 @@ def with_season(obs: DataFrame, ts: str = "ts", start_month: int = SEASON_START_
 
 def monthly_median(obs: DataFrame, keys: list[str], bands: list[str], ts: str = "ts",
                    start_month: int = SEASON_START_MONTH, start_day: int = 1,
-                   hot_rows: int | None = None) -> DataFrame:
+                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Per pixel, season and month the median of the valid values of each band.
 
-    Rows are placed by pixel, so later steps per pixel need no shuffle.
+    Rows are placed by pixel, so later steps per pixel need no shuffle. Pixels above ``hot_rows`` rows are counted, not gathered.
     """
     binned = with_season(obs, ts, start_month, start_day).select(*keys, "season_year", "month", *bands)
     return exact_median(binned, [*keys, "season_year", "month"], bands, hot_rows, keys)

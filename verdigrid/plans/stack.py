@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from verdigrid.bands import BANDS, MAX_CLOUD_PCT, S1_BANDS, S2_BANDS, SEASON_START_MONTH
 from verdigrid.functions.calendar import season_bounds
 from verdigrid.operators import composite, scenes
-from verdigrid.skew import bounded_median, median_of_hot, split_hot
+from verdigrid.skew import HOT_ROWS, bounded_median, median_of_hot, split_hot
 
 
 def clear_optical(s2: DataFrame, max_cloud: float = MAX_CLOUD_PCT, bands: list[str] = S2_BANDS) -> DataFrame:
@@ -22,23 +22,23 @@ def linear_radar(s1: DataFrame) -> DataFrame:
 
 def optical_composite(s2: DataFrame, keys: list[str], max_cloud: float = MAX_CLOUD_PCT,
                       bands: list[str] = S2_BANDS, start_month: int = SEASON_START_MONTH, start_day: int = 1,
-                      hot_rows: int | None = None) -> DataFrame:
+                      hot_rows: int | None = HOT_ROWS) -> DataFrame:
     return composite.monthly_median(clear_optical(s2, max_cloud, bands), keys, bands, "ts", start_month, start_day, hot_rows)
 
 
 def radar_composite(s1: DataFrame, keys: list[str], start_month: int = SEASON_START_MONTH, start_day: int = 1,
-                    hot_rows: int | None = None) -> DataFrame:
+                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
     return composite.monthly_median(linear_radar(s1), keys, S1_BANDS, "ts", start_month, start_day, hot_rows)
 
 
 def build_cube(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str], first_year: int, last_year: int,
                bands: list[str] = BANDS, max_cloud: float = MAX_CLOUD_PCT, start_month: int = SEASON_START_MONTH,
-               start_day: int = 1, hot_rows: int | None = None, year: str | None = None) -> DataFrame:
+               start_day: int = 1, hot_rows: int | None = HOT_ROWS, year: str | None = None) -> DataFrame:
     """Twelve rows with the given bands for every pixel and season of the range.
 
-    A median gathers the observations of a pixel, season and month, which the sensors' revisit bounds, so no pass over the
-    data looks for large groups. ``hot_rows`` is for tables in which scenes repeat without bound: it counts the rows of every pixel first and takes those above
-    it another way. ``year`` names a partition column of both tables with the calendar year of ``ts``.
+    A median gathers the observations of a pixel, season and month. The rows of every pixel are counted first, and those of
+    pixels above ``hot_rows`` take another way, so no list grows without bound; ``hot_rows=None`` saves that pass over the
+    data where the sensors' revisit is known to bound a group. ``year`` names a partition column of both tables with the calendar year of ``ts``.
     ``pixels`` are the cells to build (inside of a region, or of the scored class),
     each once. Both sensors are shuffled together, by pixel and season, to the join
     with the cells; medians, month spine and all later work per pixel stay in place.
