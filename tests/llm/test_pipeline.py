@@ -58,7 +58,7 @@ def test_registered():
     from __spark_entry__ import oracle_sql, queries
 
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and {"op3_licence_scan", "op8_sharding"} <= set(oracle_sql())
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from verdigrid.llm import bpe, licences, main_text, packing, rules, secret_scan, sharding, shingle_join, vector_links, voting
+from verdigrid.llm import (alignment, bpe, licences, main_text, packing, periodic_runs, rules, secret_scan, sharding, shingle_join, token_files,
+                           vector_links, voting)
 from verdigrid.llm.common import FOLDS, read_table
 
 #: Bytes of text that a shard holds at most.
@@ -65,8 +66,22 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(docs, secret_scan.fit_secrets(docs)).drop("text")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.with_planted_runs(_texts(spark, sf_dir))))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_texts(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.reread(_texts(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return files.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_embedding_near_dedup, op3_licence_scan, op4_ngram_jaccard_join, op5_html_extraction,
-                                   op6_packing, op7_byte_bpe, op8_sharding, op9_quality_rules, op10_secret_scan)}
+                                   op6_packing, op7_byte_bpe, op8_sharding, op9_quality_rules, op10_secret_scan, op11_periodic_runs,
+                                   op12_tokenizer_alignment, op13_token_files)}
 
 ORACLES = {
     "op3_licence_scan": licences.licences_sql(),
