@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -22,23 +22,29 @@ CHUNK, BLOCK = 1_000_000, 1_000_000
 BITS = 20
 
 
-def cuts(lengths_a: list[int], lengths_b: list[int]) -> tuple[list[int], list[int]]:
+def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Token counts of both sides up to every byte offset where tokens of both end, in order.
 
-    Ends are looked up in a dictionary of each side, and the keys that both hold are the cuts.
+    Each side's ends, which ascend, are looked up in a dictionary of the other's; the keys that both hold are the cuts.
     """
-    index_a = dict(zip(accumulate(lengths_a), range(1, len(lengths_a) + 1)))
-    index_b = dict(zip(accumulate(lengths_b), range(1, len(lengths_b) + 1)))
-    common = sorted(index_a.keys() & index_b.keys())
-    return list(map(index_a.__getitem__, common)), list(map(index_b.__getitem__, common))
+    index_a, index_b = [dict(zip(ends, range(1, len(ends) + 1))) for ends in (ends_a, ends_b)]
+    common = list(filter(index_b.__contains__, index_a))  # sorted, as a dictionary keeps its order
+    return [np.array(list(map(index.__getitem__, common)), np.int64) for index in (index_a, index_b)]
+
+
+def ascending(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order; ``values`` is sorted in place."""
+    values.sort()
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
 
 
 def thin(values: np.ndarray) -> bytes:
-    """Numbers in as few bytes as the largest needs."""
-    return values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<")).tobytes()
+    """Numbers in as few bytes as the largest needs, compressed: Spark's own codecs leave ids as long as they are."""
+    return zstandard.compress(values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<")).tobytes(), 3)
 
 
-def wide(raw: bytes, count: int) -> np.ndarray:
+def wide(packed: bytes, count: int) -> np.ndarray:
+    raw = zstandard.decompress(packed)
     return np.frombuffer(raw, f"<u{len(raw) // count}").astype(np.int64) if count else np.empty(0, np.int64)
 
 
@@ -49,19 +55,29 @@ class Chunk:
         self.a, self.b, self.size_a, self.size_b, self.of = a, b, size_a, size_b, of
 
     @staticmethod
-    def _distinct(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(group, id, times) of the distinct ids of every group."""
-        keys, times = np.unique(np.repeat(np.arange(len(sizes)), sizes) << BITS | ids, return_counts=True)
-        return keys >> BITS, keys & ((1 << BITS) - 1), times
+    def _distinct(ids: np.ndarray, sizes: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``groups``, id, times) of the distinct ids of these groups."""
+        starts = (np.cumsum(sizes) - sizes)[groups]
+        n = sizes[groups]
+        place = np.repeat(np.arange(len(groups)), n)
+        at = np.arange(len(place)) - np.repeat(np.cumsum(n) - n - starts, n)
+        keys = place << BITS | ids[at]
+        keys.sort()
+        firsts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+        return keys[firsts] >> BITS, keys[firsts] & ((1 << BITS) - 1), np.diff(np.append(firsts, len(keys)))
 
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Blocks of (document, code of the pair, links) for every pair of ids within a group; documents come in order.
+        """Blocks of (document, code of the pair, links) for every pair of ids within a group.
 
-        A group of many tokens is expanded by its distinct ids, and in blocks.
+        Groups of one token each side link as they are; others are expanded by their distinct ids, and in blocks.
         """
-        group_a, a, times_a = self._distinct(self.a, self.size_a)
-        group_b, b, times_b = self._distinct(self.b, self.size_b)
-        first_b = np.searchsorted(group_b, np.arange(len(self.size_b) + 1))
+        single = (self.size_a == 1) & (self.size_b == 1)
+        ends_a, ends_b = np.cumsum(self.size_a), np.cumsum(self.size_b)
+        yield self.of[single], self.a[ends_a[single] - 1] << BITS | self.b[ends_b[single] - 1], np.ones(int(single.sum()), np.int64)
+        groups = np.flatnonzero(~single)
+        group_a, a, times_a = self._distinct(self.a, self.size_a, groups)
+        group_b, b, times_b = self._distinct(self.b, self.size_b, groups)
+        first_b = np.searchsorted(group_b, np.arange(len(groups) + 1))
         partners = np.diff(first_b)[group_a]
         upto = np.cumsum(partners)
         at = 0
@@ -70,14 +86,15 @@ class Chunk:
             n = partners[at:end]
             row = np.repeat(np.arange(at, end), n)
             other = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + first_b[group_a[row]]
-            yield self.of[group_a[row]], a[row] << BITS | b[other], times_a[row] * times_b[other]
+            yield self.of[groups[group_a[row]]], a[row] << BITS | b[other], times_a[row] * times_b[other]
             at = end
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """(code, documents that hold it) of every distinct pair."""
-        seen = [np.unique(doc << 2 * BITS | code) for doc, code, _ in self.links()]
-        seen = [np.unique(np.concatenate(seen))] if len(seen) > 1 else seen
-        return np.unique(seen[0] & ((1 << 2 * BITS) - 1), return_counts=True) if seen else (np.empty(0, np.int64), np.empty(0, np.int64))
+        seen = ascending(np.concatenate([ascending(doc << 2 * BITS | code) for doc, code, _ in self.links()])) & ((1 << 2 * BITS) - 1)
+        seen.sort()
+        firsts = np.flatnonzero(np.append(True, seen[1:] != seen[:-1])[:len(seen)])
+        return seen[firsts], np.diff(np.append(firsts, len(seen)))
 
 
 class Aligner:
@@ -89,31 +106,35 @@ class Aligner:
         self.code_b, self.bytes_b = vocab.pieces(raw_b)
         if max(len(self.bytes_a), len(self.bytes_b)) > 1 << BITS:
             raise ValueError(f"ids of more than {BITS} bits")
-        self.len_a, self.len_b = [list(map(len, x)) for x in (self.bytes_a, self.bytes_b)]
+        self.len_a, self.len_b = [np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b)]
         # an id inside a group, an id that ends it, for either side
         self.parts = [str(i) + mark for ids, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for mark in marks for i in range(len(ids))]
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
+    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids by both; none for an empty text or one that either side does not give back byte by byte."""
+        none = np.empty(0, np.int64)
         if not text:
-            return [], []
+            return none, none
         raw = (" " + text).encode()
-        a, b = self.code_a.encode_ordinary(" " + text), self.code_b.encode(text)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return [], []
-        return a, b
+        a = self.code_a.encode_to_numpy(" " + text, disallowed_special=())
+        b = self.code_b.encode(text)
+        if self.code_a.decode_bytes(a) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+            return none, none
+        return a.astype(np.int64), np.array(b, np.int64)
+
+    def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return cuts(np.cumsum(self.len_a[a]).tolist(), np.cumsum(self.len_b[b]).tolist())
 
-    def written_groups(self, a: list[int], b: list[int], cuts_a: list[int], cuts_b: list[int]) -> str:
+    def written_groups(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> str:
         """``a1,a2|b1;...`` with ids of one side between commas, sides parted by ``|`` and groups by ``;``."""
         n_a, n_b = len(self.bytes_a), len(self.bytes_b)
-        ends_a, ends_b = np.array(cuts_a), np.array(cuts_b)
-        code_a, code_b = np.array(a), np.array(b) + 2 * n_a
-        code_a[ends_a - 1] += n_a
-        code_b[ends_b - 1] += n_b
+        code_a, code_b = a.copy(), b + 2 * n_a
+        code_a[cuts_a - 1] += n_a
+        code_b[cuts_b - 1] += n_b
         out = np.empty(len(a) + len(b), np.int64)
         # before a token of A stand the B tokens of earlier groups, before one of B the A tokens of its group too
-        out[np.arange(len(a)) + np.repeat(np.append(0, ends_b[:-1]), np.diff(ends_a, prepend=0))] = code_a
-        out[np.arange(len(b)) + np.repeat(ends_a, np.diff(ends_b, prepend=0))] = code_b
+        out[np.arange(len(a)) + np.repeat(np.append(0, cuts_b[:-1]), np.diff(cuts_a, prepend=0))] = code_a
+        out[np.arange(len(b)) + np.repeat(cuts_a, np.diff(cuts_b, prepend=0))] = code_b
         return "".join(map(self.parts.__getitem__, out.tolist()))[:-1]
 
 
@@ -128,8 +149,8 @@ def _aligned(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, chunk: int) ->
 
     def row(number: int, ids: list, found: list[tuple]) -> pa.RecordBatch:
         a, b, cuts_a, cuts_b, shas = zip(*found)
-        flat = [np.array(list(chain.from_iterable(lists)), np.int64) for lists in (a, b)]
-        sizes = [np.concatenate([np.diff(np.array(c, np.int64), prepend=0) for c in side]) for side in (cuts_a, cuts_b)]
+        flat = [np.concatenate(lists) for lists in (a, b)]
+        sizes = [np.concatenate([np.diff(c, prepend=0) for c in side]) for side in (cuts_a, cuts_b)]
         n_groups = list(map(len, cuts_a))
         one = Chunk(*flat, *sizes, np.repeat(np.arange(len(ids)), n_groups))
         codes, held = one.pairs()
@@ -144,11 +165,11 @@ def _aligned(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, chunk: int) ->
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 a, b = both.tokens(text.as_py())
-                cuts_a, cuts_b = cuts(list(map(both.len_a.__getitem__, a)), list(map(both.len_b.__getitem__, b)))
-                sha = hashlib.sha256(both.written_groups(a, b, cuts_a, cuts_b).encode()).hexdigest() if a else ""
+                cuts_a, cuts_b = both.cuts(a, b)
+                sha = hashlib.sha256(both.written_groups(a, b, cuts_a, cuts_b).encode()).hexdigest() if len(a) else ""
                 ids.append(doc)
                 found.append((a, b, cuts_a, cuts_b, sha))
-                size += len(a) + len(b)
+                size += len(a) + len(b) + 1
                 if size >= chunk:
                     yield row(number, ids, found)
                     number, ids, found, size = number + 1, [], [], 0

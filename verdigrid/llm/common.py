@@ -32,10 +32,10 @@ def map_batches(df: DataFrame, fn: Callable[[dict], dict], schema: str, rows: in
     return df.mapInArrow(run, kind)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write a step to the shared folder and read it back: later steps survive lost executors and compute it once."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -22,7 +22,7 @@ from verdigrid.llm.common import written
 from verdigrid.session import scratch_path
 
 #: Longest code in bits; ids between two checkpoints; ids after which a block is closed at the end of a document.
-LONGEST, STEP, BLOCK = 20, 256, 1 << 16
+LONGEST, STEP, BLOCK = 20, 128, 1 << 17
 
 BLOCKS = "part int, first bigint, doc_id array<bigint>, n_tokens array<bigint>, crc bigint, bits binary, checkpoints array<bigint>"
 DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
@@ -70,8 +70,8 @@ class Code:
         self.codes = np.zeros(len(lengths), np.int64)
         self.codes[ids] = first >> (self.longest - self.lengths[ids])
         free = (1 << self.longest) - int(room.sum())
-        self.id_of = np.concatenate([np.repeat(ids, room), np.zeros(free, np.int64)])
-        self.step_of = np.concatenate([np.repeat(self.lengths[ids], room), np.ones(free, np.int64)])
+        self.id_of = np.concatenate([np.repeat(ids, room), np.zeros(free, np.int64)]).astype(np.uint32)
+        self.step_of = np.concatenate([np.repeat(self.lengths[ids], room), np.ones(free, np.int64)]).astype(np.uint8)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """(bits, bit offset of every ``STEP``-th id)."""
@@ -96,13 +96,13 @@ class Code:
         raw = np.frombuffer(bits + b"\0" * 4, np.uint8).astype(np.uint32)
         words = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
         at, last = np.array(checkpoints, np.int64), 8 * len(words) - 1
-        out = np.empty((min(n, STEP), len(at)), np.int64)
+        found = np.empty((min(n, STEP), len(at)), np.uint32)
         down = np.uint32(32 - self.longest)
-        for k in range(len(out)):
-            found = words[at >> 3] << (at & 7).astype(np.uint32) >> down
-            out[k] = self.id_of[found]
-            at = np.minimum(at + self.step_of[found], last)  # the last stretch may be shorter, and runs on for nothing
-        return out.T.ravel()[:n]
+        for word in found:
+            np.right_shift(words[at >> 3] << (at & 7).astype(np.uint32), down, out=word)
+            at += self.step_of[word]
+            np.minimum(at, last, out=at)  # the last stretch may be shorter, and runs on for nothing
+        return self.id_of[found.T.ravel()[:n]]
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -134,10 +134,9 @@ def id_counts(tokens: DataFrame, width: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            for raw in batch.column("ids"):
-                seen = np.bincount(np.frombuffer(raw.as_buffer(), width), minlength=len(counts))
-                seen[:len(counts)] += counts
-                counts = seen
+            seen = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), width), minlength=len(counts))
+            seen[:len(counts)] += counts
+            counts = seen
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], schema=arrow)
 
@@ -187,7 +186,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int, l
     spark = docs.sparkSession
     most = max(vocab.byte_level(vocab.shipped(spark, tokenizer).value).max_token_value, end_id)
     width = "<u2" if most < 1 << 16 else "<u4"
-    tokens = written(encoded(docs, tokenizer, end_id), "tokens")
+    tokens = written(encoded(docs, tokenizer, end_id), "tokens", codec="zstd")
     counts = np.zeros(most + 1, np.int64)
     for r in id_counts(tokens, width).collect():
         counts[r["id"]] = r["n"]
@@ -225,7 +224,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for r in range(batch.num_rows):
                 first, docs, sizes, crc, bits, checkpoints = [batch.column(c)[r].as_py() for c in ("first", "doc_id", "n_tokens", "crc", "bits", "checkpoints")]
-                raw = code.decode(bits, checkpoints, sum(sizes)).astype("<u4").tobytes()
+                raw = code.decode(bits, checkpoints, sum(sizes)).astype("<u4", copy=False).tobytes()
                 if zlib.crc32(raw) != crc:
                     raise ValueError(f"checksum of the block at id {first} differs")
                 upto = np.cumsum(sizes)
