@@ -168,20 +168,12 @@ def test_alignment_in_small_blocks(monkeypatch):
     rng = np.random.default_rng(2)
     size_a, size_b = rng.integers(1, 40, 30), rng.integers(1, 40, 30)
     one = alignment.Chunk(rng.integers(0, 9, size_a.sum()), rng.integers(0, 9, size_b.sum()), size_a, size_b, np.sort(rng.integers(0, 5, 30)))
-    whole = one.pairs()
-
-    def sums():
-        found = Counter()
-        for doc, code, n in one.links():
-            found.update({(d, c): 0 for d, c in zip(doc.tolist(), code.tolist())})
-            for d, c, k in zip(doc.tolist(), code.tolist(), n.tolist()):
-                found[d, c] += k
-        return found
-
-    before = sums()
-    assert sum(before.values()) == int((size_a * size_b).sum())
-    monkeypatch.setattr(alignment, "BLOCK", 7)
-    assert sums() == before and all((x == y).all() for x, y in zip(whole, one.pairs()))
+    want = Counter()
+    for doc, a, b in zip(one.of, np.split(one.a, np.cumsum(size_a)), np.split(one.b, np.cumsum(size_b))):
+        want.update((int(doc), int(x) << alignment.BITS | int(y)) for x in a for y in b)
+    for block in (alignment.BLOCK, 7):
+        monkeypatch.setattr(alignment, "BLOCK", block)
+        assert {(d, c): n for d, c, n in zip(*map(np.ndarray.tolist, one.pairs()))} == want
 
 
 def test_alignment_query(spark, sf):

@@ -32,10 +32,19 @@ def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return [np.array(list(map(index.__getitem__, common)), np.int64) for index in (index_a, index_b)]
 
 
-def ascending(values: np.ndarray) -> np.ndarray:
-    """The distinct values in order; ``values`` is sorted in place."""
-    values.sort()
-    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, each with the sum of its times."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    firsts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return keys[firsts], np.add.reduceat(times[order], firsts) if len(keys) else times
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, each with how often it stands there; ``keys`` is sorted in place."""
+    keys.sort()
+    firsts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return keys[firsts], np.diff(np.append(firsts, len(keys)))
 
 
 def thin(values: np.ndarray) -> bytes:
@@ -61,19 +70,17 @@ class Chunk:
         n = sizes[groups]
         place = np.repeat(np.arange(len(groups)), n)
         at = np.arange(len(place)) - np.repeat(np.cumsum(n) - n - starts, n)
-        keys = place << BITS | ids[at]
-        keys.sort()
-        firsts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
-        return keys[firsts] >> BITS, keys[firsts] & ((1 << BITS) - 1), np.diff(np.append(firsts, len(keys)))
+        keys, times = counted(place << BITS | ids[at])
+        return keys >> BITS, keys & ((1 << BITS) - 1), times
 
-    def links(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Blocks of (document, code of the pair, links) for every pair of ids within a group.
+    def links(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Blocks of (document and code of the pair, links) for the pairs of ids within a group, in order.
 
         Groups of one token each side link as they are; others are expanded by their distinct ids, and in blocks.
         """
         single = (self.size_a == 1) & (self.size_b == 1)
         ends_a, ends_b = np.cumsum(self.size_a), np.cumsum(self.size_b)
-        yield self.of[single], self.a[ends_a[single] - 1] << BITS | self.b[ends_b[single] - 1], np.ones(int(single.sum()), np.int64)
+        yield counted(self.of[single] << 2 * BITS | self.a[ends_a[single] - 1] << BITS | self.b[ends_b[single] - 1])
         groups = np.flatnonzero(~single)
         group_a, a, times_a = self._distinct(self.a, self.size_a, groups)
         group_b, b, times_b = self._distinct(self.b, self.size_b, groups)
@@ -86,15 +93,13 @@ class Chunk:
             n = partners[at:end]
             row = np.repeat(np.arange(at, end), n)
             other = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + first_b[group_a[row]]
-            yield self.of[groups[group_a[row]]], a[row] << BITS | b[other], times_a[row] * times_b[other]
+            yield summed(self.of[groups[group_a[row]]] << 2 * BITS | a[row] << BITS | b[other], times_a[row] * times_b[other])
             at = end
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """(code, documents that hold it) of every distinct pair."""
-        seen = ascending(np.concatenate([ascending(doc << 2 * BITS | code) for doc, code, _ in self.links()])) & ((1 << 2 * BITS) - 1)
-        seen.sort()
-        firsts = np.flatnonzero(np.append(True, seen[1:] != seen[:-1])[:len(seen)])
-        return seen[firsts], np.diff(np.append(firsts, len(seen)))
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, code, links) of every document's distinct pairs, in order."""
+        keys, times = summed(*map(np.concatenate, zip(*self.links())))
+        return keys >> 2 * BITS, keys & ((1 << 2 * BITS) - 1), times
 
 
 class Aligner:
@@ -139,24 +144,28 @@ class Aligner:
 
 
 def _aligned(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, chunk: int) -> DataFrame:
-    """One row for each chunk: documents, digests, ids and group sizes of both sides, distinct pairs with their documents."""
+    """One row for each chunk: its documents' digests, the chunk's distinct pairs with their documents, and each document's pairs.
+
+    Of a document's pairs the places among the chunk's pairs are kept, as steps from one to the next, and the links.
+    """
     spark = docs.sparkSession
     raw_a, raw_b = vocab.shipped(spark, tokenizer_a), vocab.shipped(spark, tokenizer_b)
     id_kind = docs.schema["doc_id"].dataType.simpleString()
     kind = StructType.fromDDL(f"chunk bigint, doc_id array<{id_kind}>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, groups_sha256 array<string>, "
-                              "a binary, b binary, size_a binary, size_b binary, pairs binary, pair_docs binary")
+                              "n_pairs array<bigint>, steps binary, links binary, codes binary, held binary")
     arrow = to_arrow_schema(kind)
 
     def row(number: int, ids: list, found: list[tuple]) -> pa.RecordBatch:
         a, b, cuts_a, cuts_b, shas = zip(*found)
-        flat = [np.concatenate(lists) for lists in (a, b)]
-        sizes = [np.concatenate([np.diff(c, prepend=0) for c in side]) for side in (cuts_a, cuts_b)]
         n_groups = list(map(len, cuts_a))
-        one = Chunk(*flat, *sizes, np.repeat(np.arange(len(ids)), n_groups))
-        codes, held = one.pairs()
+        sizes = [np.concatenate([np.diff(c, prepend=0) for c in side]) for side in (cuts_a, cuts_b)]
+        doc, code, links = Chunk(np.concatenate(a), np.concatenate(b), *sizes, np.repeat(np.arange(len(ids)), n_groups)).pairs()
+        codes, held = counted(code.copy())
+        place = np.searchsorted(codes, code)
+        firsts = np.append(True, doc[1:] != doc[:-1])[:len(doc)]
         cols = {"chunk": number, "doc_id": ids, "n_a": list(map(len, a)), "n_b": list(map(len, b)), "n_groups": n_groups, "groups_sha256": list(shas),
-                "a": thin(one.a), "b": thin(one.b), "size_a": thin(sizes[0]), "size_b": thin(sizes[1]),
-                "pairs": codes.astype("<i8").tobytes(), "pair_docs": held.astype("<i8").tobytes()}
+                "n_pairs": np.bincount(doc, minlength=len(ids)).tolist(), "steps": thin(np.where(firsts, place, np.diff(place, prepend=0))), "links": thin(links),
+                "codes": codes.astype("<i8").tobytes(), "held": held.astype("<i8").tobytes()}
         return pa.RecordBatch.from_pydict({k: [v] for k, v in cols.items()}, schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,12 +195,12 @@ def _exploded(chunks: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, codes, held in zip(*[batch.column(c).to_pylist() for c in ("chunk", "pairs", "pair_docs")]):
+            for chunk, codes, held in zip(*[batch.column(c).to_pylist() for c in ("chunk", "codes", "held")]):
                 codes = np.frombuffer(codes, "<i8")
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), chunk, np.int64)), pa.array(codes),
                                                   pa.array(np.frombuffer(held, "<i8"))], schema=arrow)
 
-    return chunks.select("chunk", "pairs", "pair_docs").mapInArrow(run, kind)
+    return chunks.select("chunk", "codes", "held").mapInArrow(run, kind)
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -221,19 +230,19 @@ def align_documents(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, chunk:
     kind = StructType.fromDDL(f"doc_id {id_kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string")
     arrow = to_arrow_schema(kind)
 
-    def counted(left: pa.Table, right: pa.Table) -> pa.Table:
-        held = {c: left.column(c)[0] for c in left.column_names}
-        lists = {c: held[c].as_py() for c in ("doc_id", "n_a", "n_b", "n_groups", "groups_sha256")}
-        a, b, size_a, size_b = [wide(held[c].as_py(), sum(lists[n])) for c, n in (("a", "n_a"), ("b", "n_b"), ("size_a", "n_groups"), ("size_b", "n_groups"))]
-        order = np.argsort(right.column("code").to_numpy())
-        codes, n, best = [right.column(c).to_numpy()[order] for c in ("code", "n", "best")]
-        sums = np.zeros((3, len(lists["doc_id"])), np.int64)
-        of = np.repeat(np.arange(sums.shape[1]), lists["n_groups"])
-        for doc, code, links in Chunk(a, b, size_a, size_b, of).links():
-            at = np.searchsorted(codes, code)
-            for k, part in enumerate((links, links * (n[at] == best[at]), links * n[at])):
-                np.add.at(sums[k], doc, part)
+    def looked_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        lists = {c: left.column(c)[0].as_py() for c in ("doc_id", "n_a", "n_b", "n_groups", "groups_sha256")}
+        n_pairs = np.array(left.column("n_pairs")[0].as_py(), np.int64)
+        steps, links = [wide(left.column(c)[0].as_py(), int(n_pairs.sum())) for c in ("steps", "links")]
+        order = np.argsort(right.column("code").to_numpy())  # as in the chunk
+        n, best = [right.column(c).to_numpy()[order] for c in ("n", "best")]
+        doc = np.repeat(np.arange(len(n_pairs)), n_pairs)
+        upto = np.cumsum(steps)
+        place = upto - np.repeat(np.append(0, upto)[np.cumsum(n_pairs) - n_pairs], n_pairs)
+        sums = np.zeros((3, len(n_pairs)), np.int64)
+        for total, part in zip(sums, (links, links * (n[place] == best[place]), links * n[place])):
+            np.add.at(total, doc, part)
         return pa.table({**lists, **dict(zip(("n_links", "n_best", "count_sum"), sums))}).select(arrow.names).cast(arrow)
 
-    texts = chunks.drop("pairs", "pair_docs").groupBy("chunk")
-    return texts.cogroup(asked.groupBy("chunk")).applyInArrow(counted, kind)
+    texts = chunks.drop("codes", "held").groupBy("chunk")
+    return texts.cogroup(asked.groupBy("chunk")).applyInArrow(looked_up, kind)
