@@ -170,8 +170,9 @@ _SERIES = [*[b for b in BANDS if b not in ("coastal", "water_vapor")], "ndvi"]
                                    c2=f"SELECT *, {NDVI_SQL.format(n='nir', r='red')} AS ndvi FROM cube",
                                    w=f"SELECT pixel_id, season_year, month, {', '.join(fill_sql(b) for b in _SERIES)} FROM c2"))
 def _(spark, sf):
-    arrays = features.build_features(cube(spark, sf), ["pixel_id", "season_year"])
-    rows = arrays.select("pixel_id", "season_year", F.posexplode("x").alias("_m", "_v"))
+    months = stack.build_months(tables.rename_bands(view(spark, sf, "v_s2")), s1(spark, sf), view(spark, sf, "v_mask"), KEY, *SEASONS)
+    arrays = features.build_features(months, ["pixel_id", "season_year"])
+    rows = arrays.select("pixel_id", "season_year", F.posexplode_outer("x").alias("_m", "_v"))  # the other form reckons x twice, for a filter on its size
     series = [*_SERIES, "era5_0"]
     at = [F.element_at("_v", features.CHANNELS.index(c) + 1).alias(c) for c in series]
     return f32(rows.select("pixel_id", "season_year", (F.col("_m") + 1).alias("month"), *at), series)

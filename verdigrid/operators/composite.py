@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigrid.bands import BANDS, FILL_BAND, MONTHS, SEASON_START_MONTH, wide_name
 from verdigrid.functions import calendar, names
@@ -44,6 +44,16 @@ def spread_months(rows: DataFrame, keys: list[str], bands: list[str]) -> DataFra
     return grouped.select(*keys, F.inline(F.concat("_seen", absent)))
 
 
+def month_arrays(rows: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
+    """One row per pixel with ``months``: its twelve months in order, each a struct of the bands, NULL where a month has no row.
+
+    Rows with a NULL month say that the pixel exists; others are one per month.
+    """
+    entry = F.struct(F.col("month"), F.struct(*bands))
+    seen = F.map_from_entries(F.collect_list(F.when(F.col("month").isNotNull(), entry)))
+    return rows.groupBy(*keys).agg(seen.alias("_seen")).select(*keys, F.array(*[F.try_element_at("_seen", F.lit(m)) for m in MONTHS]).alias("months"))
+
+
 def on_spine(pixels: DataFrame, composite: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
     """Twelve rows for every pixel and season in ``pixels``; a month without observation has NULL bands.
 
@@ -110,14 +120,20 @@ def unstack(stack: DataFrame, keys: list[str], strict: bool = True, by_name: boo
 
 
 def nonfinite_pct(df: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
-    """Share of missing, NaN and infinite values over all bands, in percent; 0 for no values."""
+    """Share of missing, NaN and infinite values over all bands, in percent; 0 for no values.
+
+    ``df`` has a row per pixel and month, or a row per pixel with ``months``.
+    """
     inf = F.lit(float("inf"))
+    arrays = "months" in df.columns
+
+    def missing(x: Column) -> Column:
+        return x.isNull() | F.isnan(x) | (F.abs(x) == inf)
 
-    def bad(c: str):
-        x = F.col(c)
-        return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == inf), 1).otherwise(0)
+    def bad(c: str) -> Column:
+        return F.size(F.filter(F.col(f"months.{c}"), missing)) if arrays else F.when(missing(F.col(c)), 1).otherwise(0)
 
     n_bad = sum((bad(c) for c in bands[1:]), bad(bands[0]))
-    pct = F.try_divide(100.0 * F.sum(n_bad), F.count(F.lit(1)) * len(bands))
+    pct = F.try_divide(100.0 * F.sum(n_bad), F.count(F.lit(1)) * len(bands) * (len(MONTHS) if arrays else 1))
     agg = F.coalesce(pct, F.lit(0.0)).alias("nonfinite_pct")
     return df.groupBy(*keys).agg(agg)

@@ -31,10 +31,10 @@ def radar_composite(s1: DataFrame, keys: list[str], start_month: int = SEASON_ST
     return composite.monthly_median(linear_radar(s1), keys, S1_BANDS, "ts", start_month, start_day, hot_rows)
 
 
-def build_cube(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str], first_year: int, last_year: int,
-               bands: list[str] = BANDS, max_cloud: float = MAX_CLOUD_PCT, start_month: int = SEASON_START_MONTH,
-               start_day: int = 1, hot_rows: int | None = HOT_ROWS, year: str | None = None) -> DataFrame:
-    """Twelve rows with the given bands for every pixel and season of the range.
+def season_medians(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str], first_year: int, last_year: int,
+                   bands: list[str] = BANDS, max_cloud: float = MAX_CLOUD_PCT, start_month: int = SEASON_START_MONTH,
+                   start_day: int = 1, hot_rows: int | None = HOT_ROWS, year: str | None = None) -> DataFrame:
+    """A row with the given bands for every pixel, season of the range, and month with an observation; a NULL month where there is none.
 
     A median gathers the observations of a pixel, season and month. The rows of every pixel are counted first, and those of
     pixels above ``hot_rows`` take another way, so no list grows without bound; ``hot_rows=None`` saves that pass over the
@@ -57,7 +57,21 @@ def build_cube(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str],
     if hot is not None:
         places = hot.select(*on).distinct().join(cells, on, "left_semi")
         medians = medians.unionByName(median_of_hot(hot.join(places, on, "left_semi"), [*on, "month"], bands))
-    return composite.spread_months(medians, on, bands)
+    return medians
+
+
+def build_cube(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str], first_year: int, last_year: int,
+               bands: list[str] = BANDS, **options) -> DataFrame:
+    """Twelve rows with the given bands for every pixel and season of the range; ``options`` go to ``season_medians``."""
+    medians = season_medians(s2, s1, pixels, keys, first_year, last_year, bands, **options)
+    return composite.spread_months(medians, [*keys, "season_year"], bands)
+
+
+def build_months(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str], first_year: int, last_year: int,
+                 bands: list[str] = BANDS, **options) -> DataFrame:
+    """The cube with one row per pixel and season: ``months`` holds the twelve months, from which features follow without a shuffle."""
+    medians = season_medians(s2, s1, pixels, keys, first_year, last_year, bands, **options)
+    return composite.month_arrays(medians, [*keys, "season_year"], bands)
 
 
 def build_stack(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str], first_year: int, last_year: int,
