@@ -185,3 +185,23 @@ def test_box_join_in_any_unit(spark, scale):
     top = math.ceil(math.log2(max(max(b[3] - b[1], b[4] - b[2]) for b in boxes)))
     copies = spatial.box_cells(spatial.box_levels(left, BOX, top), BOX).groupBy("l").count()
     assert copies.agg(F.max("count")).first()[0] <= 4
+
+
+def test_cover_grows_with_the_outline(spark):
+    """A polygon twice as wide and high has twice the spans and four times the cells; the join lists no cell."""
+    counts = []
+    for size in (100, 200):
+        ring = [[(0.0, 0.0), (1.0 * size, size * 0.3), (size * 0.9, 1.0 * size), (size * 0.1, size * 0.8)]]
+        rings = spark.createDataFrame([("a", 1, ring)], "roi STRING, poly INT, rings ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>>")
+        edges = spatial.ring_edges(rings, ["roi", "poly"])
+        counts.append((spatial.polygon_spans(edges, ["roi", "poly"]).count(), spatial.polygon_cells(edges, ["roi", "poly"]).count()))
+    assert counts[1][0] <= 2.1 * counts[0][0] and counts[1][1] > 3.9 * counts[0][1]
+    pixels = spark.range(250 * 250).selectExpr("CASE WHEN id % 3 = 0 THEN 'b' ELSE 'a' END AS roi", "CAST(floor(id/250) AS BIGINT) AS grid_row", "id % 250 AS grid_col")
+    inside = {(r["grid_row"], r["grid_col"]) for r in spatial.polygon_cells(edges, ["roi", "poly"]).collect()}
+    wanted = sorted((r["roi"], r["grid_row"], r["grid_col"]) for r in pixels.collect() if r["roi"] == "a" and (r["grid_row"], r["grid_col"]) in inside)
+    clipped = spatial.clip_to_rois(pixels, edges, ["poly"], on=["roi"])
+    assert sorted(map(tuple, clipped.collect())) == wanted and clipped.columns == pixels.columns
+    paired = spatial.pixels_in_polygons(pixels, edges, ["poly"], on=["roi"])
+    assert sorted((r["roi"], r["grid_row"], r["grid_col"]) for r in paired.collect()) == wanted and "poly" in paired.columns
+    plan = clipped._jdf.queryExecution().executedPlan().toString()
+    assert "explode(sequence(first_col" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -175,13 +175,12 @@ def rank_candidates(candidates: DataFrame, poly_keys: list[str], path: str = "pa
     return row_numbers(candidates, poly_keys, [settled(F.col("iou")).desc(), F.col(path)], "rank", hot_rows)
 
 
-def polygon_cells(edges: DataFrame, poly_keys: list[str], t: dict[str, Column] | None = None,
+def polygon_spans(edges: DataFrame, poly_keys: list[str], t: dict[str, Column] | None = None,
                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Grid cells whose centre is inside a polygon (even-odd rule), one row each.
+    """(polygon keys, grid_row, first_col, last_col): the cells of a row whose centres are inside a polygon (even-odd rule), as disjoint spans.
 
-    Every edge yields its crossing with the centre line of each row it passes. In a
-    row, sorted crossings pair up to spans, and a span lists its cells. The work is
-    proportional to the crossings and the cells inside, not to cells times edges.
+    Every edge yields its crossing with the centre line of each row it passes. In a row, sorted crossings pair up to spans.
+    Rows and work grow with the polygon's outline, not with its area.
     """
     ends = edges.select(*poly_keys, *EDGE)
     if t is not None:
@@ -198,25 +197,46 @@ def polygon_cells(edges: DataFrame, poly_keys: list[str], t: dict[str, Column] |
     crossings = rows.select(*poly_keys, "grid_row",
                             (F.col("x0") + (F.col("grid_row") + 0.5 - F.col("y0")) * slope).alias("_x"))
     numbered = row_numbers(crossings, [*poly_keys, "grid_row"], [F.col("_x")], "_no", hot_rows)
-    spans = (numbered.withColumn("_pair", F.floor((F.col("_no") - 1) / 2))
-             .groupBy(*poly_keys, "grid_row", "_pair").agg(F.min("_x").alias("_from"), F.max("_x").alias("_to"))
-             .withColumns({"_c0": F.ceil(F.col("_from") - 0.5).cast("bigint"),
-                           "_c1": (F.ceil(F.col("_to") - 0.5) - 1).cast("bigint")})
-             .filter(F.col("_c0") <= F.col("_c1")))
-    return spans.select(*poly_keys, "grid_row", F.explode(F.sequence("_c0", "_c1")).alias("grid_col"))
+    return (numbered.withColumn("_pair", F.floor((F.col("_no") - 1) / 2))
+            .groupBy(*poly_keys, "grid_row", "_pair").agg(F.min("_x").alias("_from"), F.max("_x").alias("_to"))
+            .select(*poly_keys, "grid_row", F.ceil(F.col("_from") - 0.5).cast("bigint").alias("first_col"),
+                    (F.ceil(F.col("_to") - 0.5) - 1).cast("bigint").alias("last_col"))
+            .filter("first_col <= last_col"))
+
+
+def polygon_cells(edges: DataFrame, poly_keys: list[str], t: dict[str, Column] | None = None,
+                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Grid cells whose centre is inside a polygon, one row each. Joins take ``polygon_spans`` instead and list no cells."""
+    spans = polygon_spans(edges, poly_keys, t, hot_rows)
+    return spans.select(*poly_keys, "grid_row", F.explode(F.sequence("first_col", "last_col")).alias("grid_col"))
+
+
+def within_spans(cells: DataFrame, spans: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Cells that lie in a span with the same ``on`` and row: a join on these keys with a test of the column.
+
+    A cell meets the few spans of its row only, and no cell is listed on the other side.
+    """
+    keys = [*on, "grid_row"]
+    renamed = spans.withColumnsRenamed({k: f"_span_{k}" for k in keys})
+    same = [F.col(k) == F.col(f"_span_{k}") for k in keys]
+    joined = cells.join(renamed, [*same, F.col("grid_col").between(F.col("first_col"), F.col("last_col"))], how)
+    return joined.drop(*[f"_span_{k}" for k in keys], "first_col", "last_col")
 
 
 def pixels_in_polygons(pixels: DataFrame, edges: DataFrame, poly_keys: list[str],
-                       t: dict[str, Column] | None = None) -> DataFrame:
-    """Pixel rows with the polygons they lie in, one row per pair."""
-    return pixels.join(polygon_cells(edges, poly_keys, t), ["grid_row", "grid_col"])
+                       t: dict[str, Column] | None = None, on: list[str] | None = None) -> DataFrame:
+    """Pixel rows with the polygons they lie in, one row per pair. ``on`` are keys of a raster that both sides share."""
+    on = on or []
+    every = list(dict.fromkeys([*on, *poly_keys]))
+    return within_spans(pixels, polygon_spans(edges, every, t), on)
 
 
 def clip_to_rois(pixels: DataFrame, edges: DataFrame, poly_keys: list[str],
-                 t: dict[str, Column] | None = None) -> DataFrame:
-    """Pixels inside of any polygon."""
-    cells = polygon_cells(edges, poly_keys, t).select("grid_row", "grid_col")
-    return pixels.join(cells, ["grid_row", "grid_col"], "left_semi")
+                 t: dict[str, Column] | None = None, on: list[str] | None = None) -> DataFrame:
+    """Pixels inside of any polygon. ``on`` are keys of a raster that both sides share."""
+    on = on or []
+    every = list(dict.fromkeys([*on, *poly_keys]))
+    return within_spans(pixels, polygon_spans(edges, every, t).select(*on, "grid_row", "first_col", "last_col"), on, "left_semi")
 
 
 def edges_of_images(edges: DataFrame, headers: DataFrame, keys: list[str], poly_keys: list[str]) -> DataFrame:
@@ -232,8 +252,8 @@ def clip_images(cells: DataFrame, headers: DataFrame, edges: DataFrame, keys: li
     """Cells of each raster inside of any of its polygons, every raster on a grid of its own; ``edges`` as of ``edges_of_images``."""
     every = list(dict.fromkeys([*keys, *poly_keys]))
     placed = edges.select(*every, *EDGE).join(headers.select(*keys, *geo.AFFINE), keys)
-    inside = polygon_cells(placed, every, geo.affine()).select(*keys, "grid_row", "grid_col")
-    return cells.join(inside, [*keys, "grid_row", "grid_col"], "left_semi")
+    inside = polygon_spans(placed, every, geo.affine()).select(*keys, "grid_row", "first_col", "last_col")
+    return within_spans(cells, inside, keys, "left_semi")
 
 
 def mosaic_first(pixels: DataFrame, keys: list[str], rank: Column, nodata: Column) -> DataFrame:

@@ -54,6 +54,7 @@ def run_pipeline(s2: DataFrame, s1: DataFrame, headers: DataFrame, edges: DataFr
     spark = s2.sparkSession
     keys = [*IMAGE, *grid.CELL]
     wanted, all_cover = headers, cover_headers
+    edges = _kept(edges, f"{out}/polygons")
     rejected = _kept(status.image_problems(headers, edges, IMAGE), f"{out}/rejected")
     broken_cover = _kept(status.header_problems(cover_headers.withColumn("epsg", F.lit(cover_epsg)), ["raster_id"]), f"{out}/rejected_cover")
     headers, cover_headers = status.usable(headers, rejected, IMAGE), status.usable(cover_headers, broken_cover, ["raster_id"])
