@@ -132,6 +132,22 @@ def _(spark, sf):
     return counts.select("label", "support", (F.sum("hits").over(every) * CLASSES > F.sum("support").over(every)).alias("above_chance"))
 
 
+# a class of nine in ten vectors against one of one in ten
+_RARE = "CAST(label = 3 AS INT)"
+
+
+@check("fit_weighted_head", f"""SELECT {_RARE} AS label, count(*) AS support, true AS copies_balanced, true AS recalled FROM embeddings WHERE label IS NOT NULL GROUP BY 1""")
+def _(spark, sf):
+    """Rows of an uneven label; whether balanced weights give both classes like numbers of copies, and a weighted head with a hidden layer finds half of each."""
+    rows = table(spark, sf, "embeddings").filter("label IS NOT NULL").selectExpr("vec_id", "embedding", f"{_RARE} AS label")
+    weighted = rows.join(F.broadcast(metrics.class_weights(rows, "balanced")), "label")  # two rows
+    copies = model.weighted_copies(weighted, "weight", ["embedding", "label"]).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    fitted = model.fit_head(weighted, hidden=(16,), classes=2, weight="weight", iterations=60)
+    found = model.apply_fitted(fitted, rows).groupBy("label").agg(F.count(F.lit(1)).alias("support"), F.avg((F.col("pred") == F.col("label")).cast("int")).alias("_recall"))
+    most = Window.partitionBy()  # two rows
+    return found.join(copies, "label").select("label", "support", (F.col("n") > 0.8 * F.max("n").over(most)).alias("copies_balanced"), (F.col("_recall") >= 0.5).alias("recalled"))
+
+
 @check("save_load_model", "SELECT vec_id, true AS same, true AS known FROM embeddings")
 def _(spark, sf):
     """Whether a perceptron head gives the same labels after a round trip through files, and a weight table's head known classes."""

@@ -152,3 +152,33 @@ def test_trained_head_and_missing_input(spark):
                     for f in (None, fitted))
     for got in (own, trained):
         assert len(got) == 6 and got[5] == (0, True) and all(got[c][0] in (1, 2) and not got[c][1] for c in range(5))
+
+
+def test_failed_check_publishes_nothing(spark, tmp_path):
+    cells = spark.createDataFrame([("a", 2018, 0, r, c, 1) for r in range(2) for c in range(3)], "roi STRING, season_year INT, idx INT, grid_row BIGINT, grid_col BIGINT, label SMALLINT")
+    headers = spark.createDataFrame([("a", 2018, 0, 3, 2)], "roi STRING, season_year INT, idx INT, width INT, height INT")
+    path = tmp_path / "out"
+    with pytest.raises(ValueError, match="does not fit"):
+        sinks.write_predictions(cells, headers.withColumn("width", F.lit(4)), str(path))
+    assert not any(p.is_file() for p in path.rglob("*.parquet"))
+    sinks.write_predictions(cells, headers, str(path))
+    assert spark.read.parquet(f"{path}/labels").count() == 6 and sorted(p.name for p in path.iterdir()) == ["headers", "labels"]
+    with pytest.raises(FileExistsError):
+        sinks.write_predictions(cells, headers, str(path))
+    with pytest.raises(ValueError, match="does not fit"):
+        sinks.write_predictions(cells.limit(5), headers, str(path), mode="overwrite")
+    assert spark.read.parquet(f"{path}/labels").count() == 6
+    sinks.write_predictions(cells.withColumn("label", F.lit(2).cast("smallint")), headers, str(path), mode="overwrite")
+    assert spark.read.parquet(f"{path}/labels").filter("label = 2").count() == 6
+
+
+def test_batches_of_the_audit(spark, run, tmp_path):
+    path = str(tmp_path / "audit")
+    for batch in ("one", "two", "one", None):
+        sinks.append_audit(run[1], path, batch)
+    read = sinks.read_audit(spark, path)
+    assert read.count() == 21 and [f.name for f in read.schema] == [n for n, _ in sinks.AUDIT_FIELDS]
+    sinks.append_audit(run[1].limit(2), path, "two")
+    assert sinks.read_audit(spark, path).count() == 16
+    with pytest.raises(ValueError):
+        sinks.append_audit(run[1], path, "a/b")

@@ -162,3 +162,13 @@ def test_tensors_listed_twice(spark):
     assert set(load_weights(once, shapes)) == set(shapes)
     with pytest.raises(ValueError, match="more than once"):
         load_weights(once.unionByName(once.limit(1)), shapes)
+
+
+def test_weighted_copies(spark):
+    rows = spark.range(4000).selectExpr("id", "CASE id % 4 WHEN 0 THEN 2.0 WHEN 1 THEN 5.0 WHEN 2 THEN 0.0 ELSE 3.0 END AS w")
+    counts = {r["w"]: r["n"] for r in model.weighted_copies(rows, "w", ["id"]).groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(counts) == {2.0, 3.0, 5.0} and counts[2.0] == 1000
+    assert abs(counts[5.0] - 2500) < 80 and abs(counts[3.0] - 1500) < 80
+    again = model.weighted_copies(rows.repartition(3), "w", ["id"]).groupBy("id").count()
+    assert again.exceptAll(model.weighted_copies(rows, "w", ["id"]).groupBy("id").count()).count() == 0
+    assert model.weighted_copies(rows.filter("w = 0"), "w", ["id"]).count() == 0

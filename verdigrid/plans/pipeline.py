@@ -84,7 +84,7 @@ def run_pipeline(s2: DataFrame, s1: DataFrame, headers: DataFrame, edges: DataFr
                                     tile_size=tile_size, fitted=fitted, crop_errors=by_season(crop_problems(candidates, IMAGE)), rejected=aside)
     no_image = {"timestamp": F.current_timestamp(), "mask_path": F.coalesce("path", F.col("raster_id").cast("string")), "error": F.col("error")}
     of_cover = broken_cover.join(all_cover.select("raster_id", "path").dropDuplicates(["raster_id"]), "raster_id", "left")
-    sinks.append_audit(audit.unionByName(of_cover.select(*[no_image.get(n, F.lit(None)).cast(t).alias(n) for n, t in sinks.AUDIT_FIELDS])), f"{out}/audit")
+    sinks.append_audit(audit.unionByName(of_cover.select(*[no_image.get(n, F.lit(None)).cast(t).alias(n) for n, t in sinks.AUDIT_FIELDS])), f"{out}/audit", "run")
     written = sinks.read_audit(spark, f"{out}/audit")
     scored = written.filter("nonfinite_pct IS NOT NULL").select("roi", F.col("year").alias("season_year"), "idx")
     sinks.write_predictions(predictions, images.join(scored, [*RUN, "idx"], "left_semi"), f"{out}/predictions")

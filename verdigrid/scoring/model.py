@@ -117,8 +117,8 @@ def fit_head(embedded: DataFrame, label: str = "label", hidden: tuple[int, ...]
              weight: str | None = None, iterations: int = 50, penalty: float = 1e-4, seed: int = 7) -> PipelineModel:
     """Train a head on frozen embeddings with Spark ML.
 
-    Without hidden sizes a logistic regression, which takes class weights from the
-    column ``weight``; otherwise a multilayer perceptron.
+    Without hidden sizes a logistic regression, which takes class weights from the column ``weight``; otherwise a
+    multilayer perceptron, which is given rows as many times as their weight says (``weighted_copies``).
     """
     rows = embedded.withColumns({"_features": array_to_vector(F.col("embedding").cast("array<double>")),
                                  "_label": F.col(label).cast("double")})
@@ -128,10 +128,10 @@ def fit_head(embedded: DataFrame, label: str = "label", hidden: tuple[int, ...]
                                   probabilityCol="_proba", rawPredictionCol="_raw", maxIter=iterations,
                                   regParam=penalty, family="multinomial", **options)
     else:
-        if weight:
-            raise ValueError("class weights need the logistic head")
         if classes is None:
             classes = int(rows.agg(F.max("_label")).first()[0]) + 1
+        if weight:
+            rows = weighted_copies(rows, weight, ["embedding", "_label"])
         inputs = rows.select(F.size("embedding")).first()[0]
         head = MultilayerPerceptronClassifier(featuresCol="_features", labelCol="_label", predictionCol="_pred",
                                               probabilityCol="_proba", rawPredictionCol="_raw", maxIter=iterations,
@@ -139,6 +139,22 @@ def fit_head(embedded: DataFrame, label: str = "label", hidden: tuple[int, ...]
     return Pipeline(stages=[head]).fit(rows)
 
 
+def weighted_copies(rows: DataFrame, weight: str, key: list[str]) -> DataFrame:
+    """Rows repeated in proportion to ``weight``: a row of the least weight above 0 stands there once, one without weight not at all.
+
+    Of a fraction of a copy the hash of ``key`` decides, so that a rerun gives the same rows and a class the right total.
+    With balanced weights no class gets more rows than the largest has.
+    """
+    least = rows.filter(F.col(weight) > 0).agg(F.min(weight)).first()[0]
+    if least is None:
+        return rows.limit(0)
+    copies = F.col(weight) / F.lit(float(least))
+    chance = F.pmod(F.xxhash64(*key), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    n = F.floor(copies) + (chance < copies - F.floor(copies)).cast("bigint")
+    wanted = rows.withColumn("_copies", n.cast("int")).filter("_copies > 0")
+    return wanted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
+
+
 def apply_fitted(model: Model, embedded: DataFrame) -> DataFrame:
     """Add ``pred`` and ``proba`` of a fitted head."""
     rows = embedded.withColumn("_features", array_to_vector(F.col("embedding").cast("array<double>")))
