@@ -502,6 +502,27 @@ def test_shards_of_one_key(spark):
     assert sharding.extendible_shards(table.limit(0), "doc_id", F.col("b"), 1000).count() == 0
 
 
+@pytest.mark.parametrize("ids, sizes", [([7] * 300 + [8], [50] * 301), ([7] * 300 + [8, 9, 10], [50] * 303), ([1, 2], [5000, 10]), (list(range(40)) + [3] * 500, [30] * 540)])
+def test_shards_of_uneven_depths(spark, ids, sizes):
+    """A hot id beside a few others: buckets of depth 60 next to shallow ones; every row is placed once, and by its hash."""
+    table = spark.createDataFrame([(i, n, k) for k, (i, n) in enumerate(zip(ids, sizes))], "doc_id bigint, b bigint, k int")
+    rows = sharding.extendible_shards(table, "doc_id", F.col("b"), 1000).collect()
+    assert sorted(r.k for r in rows) == list(range(len(ids)))
+    hashes = {i: int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) for i in set(ids)}
+    sums = Counter()
+    for r in rows:
+        assert hashes[r.doc_id] >> (sharding.HASH_BITS - r.shard_depth) == r.shard_prefix
+        sums[r.shard_depth, r.shard_prefix, r.shard_page] += r.b
+    assert all(sums[r.shard_depth, r.shard_prefix, r.shard_page] == r.shard_bytes for r in rows)
+    pages = Counter((r.shard_depth, r.shard_prefix, r.shard_page) for r in rows)
+    assert all(n <= 1000 or pages[k] == 1 for k, n in sums.items())
+
+
+def test_lookup_depth():
+    assert sharding.lookup_depth({2: 3, 60: 1}) == 2 and sharding.lookup_depth({60: 1}) == 60 and sharding.lookup_depth({5: 100, 6: 100, 7: 3}) == 6 + 1
+    assert sharding.lookup_depth({4: 10, 30: 1, 60: 1}) == 4
+
+
 # 10: secret scans
 
 def test_base_spans():

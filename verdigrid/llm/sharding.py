@@ -13,6 +13,8 @@ from verdigrid.skew import running_total
 HASH_BITS = 60
 #: Bits that each further look at the directory adds.
 STEP = 4
+#: Rows of a lookup table for each bucket, at most.
+LISTED = 4
 
 
 def hash_of(key: Column) -> Column:
@@ -54,6 +56,12 @@ def directory(sizes: DataFrame, limit: int) -> DataFrame:
         depth, deep = deep, min(HASH_BITS, deep + STEP)
 
 
+def lookup_depth(counts: dict[int, int]) -> int:
+    """The deepest depth of a bucket down to which all can be listed, leaf by leaf, in at most ``LISTED`` rows for each bucket of ``counts``."""
+    first = min(counts)
+    return max(t for t in counts if t == first or sum(n << (t - d) for d, n in counts.items() if d <= t) <= LISTED * sum(counts.values()))
+
+
 def extendible_shards(rows: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
     """Add shard_depth, shard_prefix, shard_page and shard_bytes to ``rows``: shards of at most ``limit`` bytes.
 
@@ -65,20 +73,21 @@ def extendible_shards(rows: DataFrame, key: str, size: Column, limit: int) -> Da
         raise ValueError("limit must be at least 1 byte")
     sized = rows.withColumns({"_hash": hash_of(F.col(key)), "_size": F.coalesce(size.cast("bigint"), F.lit(0).cast("bigint"))})
     found = written(directory(written(sized.select("_hash", "_size"), "sizes"), limit), "directory")
-    depths = sorted(r[0] for r in found.select("depth").distinct().collect())  # at most 61 numbers
-    # one lookup for all buckets down to a depth that most have: shallow ones are listed for each leaf below them
-    top = depths[len(depths) // 2] if depths else 0
-    spread = F.explode(F.expr(f"sequence(shiftleft(prefix, {top} - depth), shiftleft(prefix + 1, {top} - depth) - 1)"))
+    counts = {r["depth"]: r["n"] for r in found.groupBy("depth").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 61 rows
     bucket = [F.col("depth").cast("int").alias("shard_depth"), F.col("prefix").alias("shard_prefix"), F.col("n_bytes").alias("shard_bytes")]
-    shallow = found.filter(F.col("depth") <= top).select(*bucket, spread.alias("_leaf"))
-    placed = sized.withColumn("_leaf", _prefix(top)).join(shallow, "_leaf", "left").drop("_leaf")
-    for d in [d for d in depths if d > top]:
-        level = found.filter(F.col("depth") == d).select(F.col("prefix").alias("_p"), F.col("n_bytes").alias("_b"))
-        placed = placed.withColumn("_p", F.when(F.col("shard_depth").isNull(), _prefix(d))).join(level, "_p", "left")
-        hit = F.col("_b").isNotNull()
-        placed = (placed.withColumn("shard_depth", F.when(hit, F.lit(d)).otherwise(F.col("shard_depth")))
-                  .withColumn("shard_prefix", F.when(hit, F.col("_p")).otherwise(F.col("shard_prefix")))
-                  .withColumn("shard_bytes", F.when(hit, F.col("_b")).otherwise(F.col("shard_bytes"))).drop("_p", "_b"))
+    placed, rest = None, sized
+    while counts:
+        top = lookup_depth(counts)
+        counts = {d: n for d, n in counts.items() if d > top}
+        spread = F.explode(F.expr(f"sequence(shiftleft(prefix, {top} - depth), shiftleft(prefix + 1, {top} - depth) - 1)"))
+        here = found.filter(F.col("depth").between(F.lit(0) if placed is None else F.lit(low), F.lit(top))).select(*bucket, spread.alias("_leaf"))
+        leaves = rest.withColumn("_leaf", _prefix(top))
+        hit = leaves.join(here, "_leaf").drop("_leaf")
+        placed, low = hit if placed is None else placed.unionByName(hit), top + 1
+        if counts:  # rows of deeper buckets only go on
+            rest = written(leaves.join(here.select("_leaf"), "_leaf", "left_anti").drop("_leaf"), "deeper")
+    if placed is None:
+        placed = sized.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (("shard_depth", "int"), ("shard_prefix", "bigint"), ("shard_bytes", "bigint"))])
     out = placed.withColumn("shard_page", F.lit(0).cast("bigint"))
     if not found.filter(F.col("n_bytes") > limit).isEmpty():
         out = out.filter(F.col("shard_bytes") <= limit).unionByName(_paged(out.filter(F.col("shard_bytes") > limit), rows.columns, limit))
