@@ -2,18 +2,23 @@
 
 import base64
 import hashlib
+import itertools
+import os
 import random
 import re
+import subprocess
+import sys
 import textwrap
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from verdigrid.llm import boosting, bpe, licences, main_text, packing, queries, rules, secret_scan, sharding, shingle_join, vector_links, voting
+from verdigrid.llm import boosting, bpe, licences, main_text, packing, queries, rules, secret_forms, secret_scan, sharding, shingle_join, vector_links, voting
 from verdigrid.llm.common import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -554,8 +559,80 @@ def test_field_finds_and_spares(spark):
     assert any(text[a:b].startswith("9f8a7b") for a, _, b in secret_scan.field_spans(text, field))
     clean = "Call 152.143.123.131 or 4785380592391139 on 2024-01-02, see chapter12 and the internationalisation page."
     assert secret_scan.all_spans(clean, field) == ([], [])
-    for _ in range(2):
-        assert secret_scan.viterbi(field, [[1, 2], [3]]) == secret_scan.viterbi(field, [[1, 2], [3]])
+
+
+def learned(docs, forms):
+    words = [w for r in docs.orderBy("doc_id").limit(300).collect() if len(w := (r.text or "").split()) > 12]
+    return words, secret_scan.fit_field(secret_scan.tagged([(" ".join(w[:20]), []) for w in words] + secret_scan.made_up(words, secret_scan.MADE_UP, forms)))
+
+
+@pytest.mark.parametrize("held_out", [["prefixed", "dashed", "dotted"], ["mixed", "base64"], []])
+def test_field_finds_forms_it_has_not_seen(docs, held_out):
+    words, field = learned(docs, [f for f in secret_forms.FORMS if f not in held_out])
+    rng = random.Random(77)
+    found = spared = alone = 0
+    for _ in range(200):
+        around = rng.choice(words)[2:10]
+        text, a, b = secret_forms.planted(rng, around, held_out or list(secret_forms.FORMS))
+        hits = secret_scan.all_spans(text, field)[1]
+        found += any(x < b and a < y for x, _, y in hits)
+        alone += any(k == 3 for _, k, _ in hits) and not secret_scan.base_spans(text)
+        text, _, _ = secret_forms.clean(rng, around)
+        spared += not [s for s in secret_scan.field_spans(text, field) if not any(x < s[2] and s[0] < y for x, _, y in secret_scan.base_spans(text))]
+    assert found >= 180 and spared >= 180 and alone > 50
+
+
+def test_known_secrets_in_whole_documents(spark, docs):
+    secrets = ["ghp_16C7e42F292c6912E7710c838347Ae178B4a", "aws_secret_access_key wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "xoxb-123456789012-1234567890123-abcDEFghiJKLmnoPQRstu",
+               "Authorization: Bearer kQzPwLmXvTrYbNdHsJf", "pwd: Xy7!kP2q", "secret AbC123dEf456GhI789"]
+    field = secret_scan.fit_secrets(docs)
+    prose = " ".join(["many ordinary words in one long line"] * 400)
+    texts = [f"{prose} {x} {prose}" for x in secrets]
+    rows = spark.createDataFrame(list(enumerate([*texts, prose, " ".join(texts)])), "doc_id bigint, text string")
+    out = {r.doc_id: r.spans.split(",") for r in secret_scan.scan_secrets(rows, field).collect()}
+    for i, x in enumerate(secrets):
+        (kind, a, b), = [s.split(":") for s in out[i]]
+        assert kind == "crf" and texts[i][int(a):int(b)] == x.split()[-1]
+    assert out[len(secrets)] == [""] and len(out[len(secrets) + 1]) == len(secrets)  # nothing is capped
+
+
+def test_viterbi_and_gradient_by_enumeration():
+    rng = np.random.default_rng(3)
+    field = secret_scan.Field(rng.normal(size=(secret_scan.FEATURES, 3)), rng.normal(size=(3, 3)))
+    field.step[secret_scan.OUT, secret_scan.INSIDE] = -1e4
+    for n in (1, 2, 5):
+        rows = [rng.integers(0, secret_scan.FEATURES, 4).tolist() for _ in range(n)]
+        emit = [field.emit[r].sum(axis=0) for r in rows]
+        emit[0][secret_scan.INSIDE] -= 1e4
+        total = lambda tags: sum(e[t] for e, t in zip(emit, tags)) + sum(field.step[a, b] for a, b in zip(tags, tags[1:]))
+        every = list(itertools.product(range(3), repeat=n))
+        assert secret_scan.viterbi(field, rows) == list(max(every, key=total))
+        whole = np.logaddexp.reduce([total(t) for t in every])
+        assert np.isclose(np.logaddexp.reduce(secret_scan._forward(np.array(emit), field.step)[-1]), whole)
+
+
+def test_windows_cover_key_words_and_odd_tokens():
+    text = "x " * 5000 + "the password here\n" + "y " * 5000 + "kQzPwLmXvTrYbNdHsJf " + "z " * 5000
+    found = [[text[a:b] for a, b in w] for w in secret_scan.windows(text, secret_scan.suspicious(text))]
+    assert len(found) == 2 and "password" in found[0] and found[0][-1] == "here" and "kQzPwLmXvTrYbNdHsJf" in found[1]
+    assert list(secret_scan.windows("", [])) == [] and all(b - a <= 1 or text[a:b].strip() == text[a:b] for a, b in secret_scan.suspicious(text))
+
+
+def test_executors_need_no_copy_of_the_library(sf, tmp_path):
+    """Operators with broadcast models, from a folder where Python workers find no package."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[2])!r})
+from verdigrid.llm import queries
+from verdigrid.session import build_session
+spark = build_session("elsewhere", "local[2]", **{{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.checkpoint.dir": {str(tmp_path / "shared")!r}}})
+for name in ("op1_quality_classifier", "op2_embedding_near_dedup", "op10_secret_scan", "op11_periodic_runs", "op12_tokenizer_alignment", "op13_token_files"):
+    print(name, queries.QUERIES[name](spark, {sf!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert len(done.stdout.split()) == 12
 
 
 def test_secrets_on_odd_rows(spark, docs):

@@ -154,7 +154,7 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         own = classes.filter(F.length("raw") == size)
         total = own.count()
         sample = own.orderBy("class").select("raw").limit(SAMPLE_ROWS).collect()  # digests are as good as random
-        grid = spark.sparkContext.broadcast(fit_grid(unit([np.frombuffer(r[0], kind) for r in sample]), total, cosine))  # 2 x 1024 half vectors at most
+        grid = spark.sparkContext.broadcast(tuple(fit_grid(unit([np.frombuffer(r[0], kind) for r in sample]), total, cosine)))  # plain arrays, 2 x 1024 half vectors at most
         a, b = _compared(own, grid, cosine, kind)
         found, edges = (a, b) if found is None else (found.unionByName(a), edges.unionByName(b))
     ids = vectors.select("vec_id")
@@ -177,7 +177,7 @@ def _compared(classes: DataFrame, grid, cosine: float, kind: str) -> tuple[DataF
     """(label, class, links) summed later, and edges (a, b) between representatives."""
     def place(batch: dict) -> dict:
         x = unit([np.frombuffer(u, kind) for u in batch["raw"]])
-        cells = visited(grid.value, x)
+        cells = visited(Grid(*grid.value), x)
         return {**batch, "cells": [c.tolist() for c in cells]}
 
     placed = written(map_batches(classes.select("label", "class", "rep", "n", "raw"), place, "label string, class string, rep bigint, n bigint, raw binary, cells array<int>", rows=512), "placed")

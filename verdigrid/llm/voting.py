@@ -117,7 +117,7 @@ def score_quality(docs: DataFrame, model: Neighbours, text: str = "text") -> Dat
     Null and empty texts get the share of good labels. Columns of these names are replaced; repeated rows score alike.
     Documents never meet: one pass, no shuffle, blocks of 256 documents against the broadcast vectors.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # plain arrays: executors need no copy of the library
     others = docs.select(*[c for c in docs.columns if c not in ("score", "predicted")])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others.schema.fields)
 
@@ -125,7 +125,7 @@ def score_quality(docs: DataFrame, model: Neighbours, text: str = "text") -> Dat
         if len(shapes) > MEMORY:
             shapes.clear()
         counts = np.array([term_counts(t, shapes) for t in batch[text]]).reshape(-1, TERMS)
-        score = vote(shared.value, counts)
+        score = vote(Neighbours(*shared.value), counts)
         return {**batch, "score": score.tolist(), "predicted": (score >= GOOD_FROM).astype(int).tolist()}
 
     return map_batches(others, run, f"{fields}, score double, predicted int", rows=256)
