@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame
 from verdigrid.llm.common import map_batches
 
 #: Elements whose content is no text of the page; read up to their end tag.
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "canvas", "object", "select", "math", "video", "audio"}
+RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "canvas", "object", "select", "video", "audio",
+       "annotation", "annotation-xml"}
 #: Elements that are no part of an article.
 APART = {"head", "title", "nav", "footer", "aside", "form", "button", "menu", "dialog", "label", "fieldset", "datalist", "option"}
 EMPTY = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -39,7 +41,7 @@ BY_NAME, FOR_GOOD = 1, 2
 #: Smoothing over neighbouring blocks, and the share of the spread of scores that a path must reach on a page without an article element.
 SMOOTH = np.array([0.1, 0.2, 0.4, 0.2, 0.1])
 #: Blocks that links may fill without making them a menu, if a container holds them.
-LISTED = re.compile(r"/(?:h[1-6]|hgroup|ul|ol|li|dl|dt|dd)(?=[/.]|$)")
+LISTED = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "ul", "ol", "li", "dl", "dt", "dd", "p", "blockquote", "pre", "td", "th", "caption", "figcaption"}
 SPREAD = 0.5
 MAX_LINKS = 0.6
 PUNCTUATION = re.compile(r"[.,;:!?…。、؟¿¡]")
@@ -50,28 +52,32 @@ _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'(
 
 class Element(NamedTuple):
     tag: str
-    path: str
+    path: int  # number of the path of block elements and their class names
     apart: int  # 0, BY_NAME or FOR_GOOD
     article: int  # number of the container around it: above 0 for an article or main element, below for a class name, 0 for none
     block: int  # number of the block that its text goes to
     link: bool
+    inner: int  # place on the stack of the innermost block, itself included
+    listed: bool  # lies in one of ``LISTED``
 
 
 class Block:
-    __slots__ = ("path", "apart", "article", "parts", "linked")
+    __slots__ = ("path", "apart", "article", "listed", "parts", "linked")
 
     def __init__(self, at: Element) -> None:
-        self.path, self.apart, self.article, self.parts, self.linked = at.path, at.apart, at.article, [], 0
+        self.path, self.apart, self.article, self.listed, self.parts, self.linked = at.path, at.apart, at.article, at.listed, [], 0
 
 
 def parse(page: str) -> list[tuple[Block, str]]:
-    """Text blocks of a page in order: each with its root-to-leaf path of block elements and their class names.
+    """Text blocks of a page in order: each with the number of its root-to-leaf path of block elements and their class names.
 
     End tags that close nothing are passed over; elements left open end with the one around them. A run of text belongs to
-    the innermost open block; text after an inner block begins a new one.
+    the innermost open block; text after an inner block begins a new one. Time grows with the page, not with its depth.
     """
     blocks: list[Block] = []
-    stack = [Element("", "", 0, 0, -1, False)]
+    stack = [Element("", 0, 0, 0, -1, False, 0, False)]
+    paths: dict[tuple[int, str], int] = {}
+    opened: Counter[str] = Counter()  # tags on the stack
     numbers = {"article": 0, "block": 0}
     current: list = [None, -1]  # the block that text goes to now, and its number
 
@@ -89,6 +95,7 @@ def parse(page: str) -> list[tuple[Block, str]]:
             current[0].linked += len(raw.strip())
 
     def close(down_to: int) -> None:
+        opened.subtract(e.tag for e in stack[down_to:])
         del stack[down_to:]
 
     at = 0
@@ -103,7 +110,7 @@ def parse(page: str) -> list[tuple[Block, str]]:
             continue
         tag = found[2].lower()
         if found[1]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i].tag == tag:
                     close(i)
                     if tag in BLOCKS:
@@ -126,7 +133,7 @@ def parse(page: str) -> list[tuple[Block, str]]:
             continue
         block = tag in BLOCKS
         if block:
-            inner = max((i for i, e in enumerate(stack) if e.tag in BLOCKS), default=0)
+            inner = stack[-1].inner
             if stack[inner].tag == "p" or stack[inner].tag in CLOSES.get(tag, ()):
                 close(inner)
                 while stack[-1].tag in CLOSES.get(tag, ()):
@@ -141,7 +148,7 @@ def parse(page: str) -> list[tuple[Block, str]]:
         if tag == "form" or named and block and tag not in WHOLE and AROUND.search(named):
             apart = max(apart, BY_NAME)
         # an article that bears a remark's name is one only inside the article that it is about
-        remark = bool(named and block and REMARK.search(named)) and (tag not in WHOLE or tag == "article" and any(e.tag == tag for e in stack))
+        remark = bool(named and block and REMARK.search(named)) and (tag not in WHOLE or tag == "article" and opened[tag] > 0)
         if tag in APART and tag != "form" or tag == "header" and not above.article or remark:
             apart = FOR_GOOD
         article = above.article
@@ -149,8 +156,10 @@ def parse(page: str) -> list[tuple[Block, str]]:
         if not article and not apart and (marked or tag in ("div", "section") and named and WITHIN.search(named)):
             numbers["article"] += 1
             article = numbers["article"] if marked else -numbers["article"]
-        path = f"{above.path}/{tag}{'.' + re.sub('[0-9]+', '0', named) if named else ''}" if block else above.path
-        stack.append(Element(tag, path, apart, article, numbers["block"] if block else above.block, above.link or tag == "a"))
+        path = paths.setdefault((above.path, f"{tag}.{re.sub('[0-9]+', '0', named)}"), len(paths) + 1) if block else above.path
+        stack.append(Element(tag, path, apart, article, numbers["block"] if block else above.block, above.link or tag == "a",
+                             len(stack) if block else above.inner, above.listed or tag in LISTED))
+        opened[tag] += 1
     out = []
     for b in blocks:
         joined = " ".join(html.unescape("".join(b.parts)).split())
@@ -164,7 +173,7 @@ def path_ratios(blocks: list[tuple[Block, str]]) -> np.ndarray:
 
     Links and what stands apart from articles weigh nothing.
     """
-    sums: dict[str, np.ndarray] = {}
+    sums: dict[int, np.ndarray] = {}
     for b, t in blocks:
         own = np.array([1, 0 if b.apart else len(t), 0 if b.apart else len(PUNCTUATION.findall(t)), b.linked])
         sums[b.path] = sums.get(b.path, 0) + own
@@ -179,8 +188,8 @@ def path_ratios(blocks: list[tuple[Block, str]]) -> np.ndarray:
     return np.array([mean[b.path] for b, _ in blocks]) * own
 
 
-def _places(blocks: list[tuple[Block, str]]) -> dict[str, list[int]]:
-    out: dict[str, list[int]] = {}
+def _places(blocks: list[tuple[Block, str]]) -> dict[int, list[int]]:
+    out: dict[int, list[int]] = {}
     for i, (b, _) in enumerate(blocks):
         out.setdefault(b.path, []).append(i)
     return out
@@ -191,7 +200,7 @@ def main_text(page: str | None) -> str:
 
     Paths are scored as a whole, so that a short paragraph stays with the long ones of its path; those above a share of the
     spread pass. If the page marks containers, all stay that have a passing path, and the best one; of these all blocks
-    stay but paths of links that are no headings or lists. A class name alone does not shut out what passes elsewhere.
+    stay but paths of links that are no headings, lists, paragraphs or table cells. A class name alone does not shut out what passes elsewhere.
     """
     blocks = parse(page or "")
     if not blocks:
@@ -205,7 +214,7 @@ def main_text(page: str | None) -> str:
             sums[k] = sums.get(k, 0) + own
         chosen = {k for k in article[passing].tolist() if k} | {max((k for k in sums if k), key=lambda k: (sums[k], -abs(k)))}
         inside = np.array([k in chosen for k in article.tolist()])
-        listed = np.array([not b.apart and bool(LISTED.search(b.path)) for b, _ in blocks])
+        listed = np.array([not b.apart and b.listed for b, _ in blocks])
         elements = any(k > 0 and v > 0 for k, v in sums.items())
         kept = inside & ((score > 0) | listed) | passing & (article == 0) & (not elements)
     else:
