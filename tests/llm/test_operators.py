@@ -182,6 +182,28 @@ def test_vector_query_recall(spark, sf):
     assert {r.vec_id: (r.n_links, r.component_id) for r in out} == want and all(r.kept == (r.vec_id == r.component_id) for r in out)
 
 
+def test_links_count_on_both_sides(spark):
+    """Several thousand vectors near the threshold, in a grid of some hundred cells."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(400, 24))
+    x = np.float32(np.repeat(centres, 12, axis=0) + rng.normal(size=(4800, 24)) * 0.26)
+    table = spark.createDataFrame([(i, v.tolist(), i // 12 % 2) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_links.link_vectors(table).collect()}
+    u = vector_links.unit(list(x))
+    label = np.arange(len(x)) // 12 % 2
+    linked = (u @ u.T >= 0.93) & (label[:, None] == label[None, :])
+    np.fill_diagonal(linked, False)
+    want = linked.sum(axis=1)
+    found = np.array([got[i][0] for i in range(len(x))])
+    assert want.sum() > 8000 and (found <= want).all() and found.sum() >= 0.99 * want.sum()
+    assert found.sum() % 2 == 0 and (found == want).mean() > 0.99
+
+
+def test_calls_are_the_walks_of_stored_vectors():
+    cells, own = [np.array([4, 7]), np.array([9]), np.array([], int)], np.array([7, 9, 7, 1])
+    assert vector_links._calls(cells, own).tolist() == [[o in c for o in own] for c in cells]
+
+
 def test_no_vectors(spark):
     assert vector_links.link_vectors(empty(spark, "vec_id bigint, embedding array<float>, label int")).count() == 0
 
@@ -368,6 +390,10 @@ def test_wrappers_named_like_surroundings(around, article):
     ('<p class="text">First words, and some more.</p><p>Second words, and some more.</p>', "First words, and some more.\n\nSecond words, and some more."),
     ('<article><h2><a href=x>Linked title</a></h2><p>Some words, and more.</p><ul><li><a href=y>Linked item</a></li></ul></article>',
      "Linked title\n\nSome words, and more.\n\nLinked item"),
+    ('<article><p>Some words, and more.</p><p class="see"><a href=y>A paragraph that is a link.</a></p></article>',
+     "Some words, and more.\n\nA paragraph that is a link."),
+    ('<article><p>Let <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x := 2</annotation></semantics></math> be given, as said.</p></article>',
+     "Let x=2 be given, as said."),
     ('<article><p>First words, and some more.</p></article><article><p>Second words, and others, longer.</p></article>',
      "First words, and some more.\n\nSecond words, and others, longer."),
     ('<div class="content"><p>Short one.</p></div><p class="text">First words, and some more.</p><p class="text">Second words, and some more.</p>',
@@ -376,6 +402,13 @@ def test_all_marked_parts_stay(page, text):
     assert main_text.main_text(f"<body><nav><a href=z>Menu, menu.</a></nav>{page}<footer>Foot, foot.</footer></body>") == text
 
 
+def test_deep_pages():
+    words = "Some words, and more of them, deep down."
+    for depth in (100, 20_000):
+        assert main_text.main_text("<div>" * depth + f"<p>{words}</p></b></span>" + "</div></ul>" * depth) == words
+        assert main_text.main_text("<article>" + "<div><i>" * depth + words) == words
+
+
 def test_pages_query(spark, sf):
     out = queries.op5_html_extraction(spark, sf).collect()
     source = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}

@@ -99,6 +99,18 @@ def _spanning(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[n
     return nodes[nodes != least], least[nodes != least]
 
 
+def _calls(cells: list[np.ndarray], own: np.ndarray) -> np.ndarray:
+    """(stored, visitor) booleans: does the stored vector's walk come to the visitor's own cell as well."""
+    known, code = np.unique(own, return_inverse=True)
+    called = np.concatenate(cells).astype(np.int64)
+    of = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
+    at = np.minimum(np.searchsorted(known, called), len(known) - 1)
+    hit = known[at] == called
+    comes = np.zeros((len(cells), len(known)), bool)
+    comes[of[hit], at[hit]] = True
+    return comes[:, code]
+
+
 def unit(rows: list[np.ndarray]) -> np.ndarray:
     """Rows as unit vectors in double precision; neither very large nor very small components lose their norm."""
     x = np.array(rows, float)
@@ -139,7 +151,8 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     equal; else each row links on its own and the id's links add up. An empty table gives no rows.
 
     Every class is stored in its cell (label, first code, second code) and visits the cells within reach. Stored classes
-    and visits of a cell are dealt into blocks of about ``BLOCK``; pairs of blocks are compared, never a whole cell.
+    and visits of a cell are dealt into blocks of about ``BLOCK``; pairs of blocks are compared, never a whole cell. A pair that
+    only one side's visits meet counts for both.
     Lengths must agree within a label; vectors of another length link among themselves.
     """
     spark = vectors.sparkSession
@@ -181,8 +194,9 @@ def _compared(classes: DataFrame, grid, cosine: float, kind: str) -> tuple[DataF
         return {**batch, "cells": [c.tolist() for c in cells]}
 
     placed = written(map_batches(classes.select("label", "class", "rep", "n", "raw"), place, "label string, class string, rep bigint, n bigint, raw binary, cells array<int>", rows=512), "placed")
-    stored = placed.select("label", "class", "rep", "n", "raw", F.col("cells")[0].alias("cell"))
-    visits = placed.select("label", "class", "rep", "n", "raw", F.explode("cells").alias("cell"))
+    own = F.col("cells")[0]
+    stored = placed.select("label", "class", "rep", "n", "raw", "cells", own.alias("own"), own.alias("cell"))
+    visits = placed.select("label", "class", "rep", "n", "raw", F.lit(None).cast("array<int>").alias("cells"), own.alias("own"), F.explode("cells").alias("cell"))
     # blocks a cell is dealt into: counted with a map-side combine, joined back on the cell
     parts = lambda d, name: d.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
     plan = parts(stored, "nb").join(parts(visits, "nq"), ["label", "cell"])
@@ -202,9 +216,12 @@ def _compared(classes: DataFrame, grid, cosine: float, kind: str) -> tuple[DataF
         same = visits_["class"].to_numpy()[:, None] == stored_["class"].to_numpy()[None, :]
         linked |= same
         n = linked @ stored_["n"].to_numpy() - same.any(axis=1)
+        one_way = linked & ~same & ~_calls(stored_["cells"].tolist(), visits_["own"].to_numpy(np.int64)).T
+        back = visits_["n"].to_numpy() @ one_way
         a, b = _spanning(linked, visits_["rep"].to_numpy(np.int64), stored_["rep"].to_numpy(np.int64))
         label = both["label"].iloc[0]
-        counts = pd.DataFrame({"label": label, "class": visits_["class"].to_numpy(), "links": n.astype("int64"), "a": pd.NA, "b": pd.NA})
+        counts = pd.DataFrame({"label": label, "class": np.concatenate([visits_["class"].to_numpy(), stored_["class"].to_numpy()]),
+                               "links": np.concatenate([n, back]).astype("int64"), "a": pd.NA, "b": pd.NA})
         pairs = pd.DataFrame({"label": label, "class": None, "links": 0, "a": a, "b": b})
         return pd.concat([counts[counts["links"] > 0], pairs], ignore_index=True)
 
