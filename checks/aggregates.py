@@ -9,8 +9,8 @@ from checks.registry import check
 from checks.scalars import MONTH_SQL, NDVI_SQL, YEAR_SQL, r9
 from checks.views import CODES, SEASONS, duck, s1, table, view
 from verdigrid.bands import BANDS, FILL_BAND, MONTHS, S1_BANDS, S2_BANDS, wide_name
-from verdigrid.operators import composite, features, gapfill, metrics, pairing
-from verdigrid.plans import stack
+from verdigrid.operators import composite, features, gapfill, metrics, pairing, stacks
+from verdigrid.plans import stack, status
 from verdigrid.sources import tables
 
 def sql32(expr: str) -> str:
@@ -110,6 +110,56 @@ def _(spark, sf):
     return composite.name_problems(view(spark, sf, "v_names"))
 
 
+# band names of each supplier's raster: rotated, some missing, misspelt, doubled by their default, too few or none at all
+def _stacked(k: str) -> str:
+    return f"concat('M', lpad(CAST(CAST(floor(({k}) / 14) AS INT) + 1 AS VARCHAR(3)), 2, '0'), '_', split_part('{','.join(BANDS)}', ',', CAST(({k}) % 14 AS INT) + 1))"
+
+
+_N_BANDS = "CASE WHEN s_suppkey % 11 = 10 THEN 150 WHEN s_suppkey % 3 = 0 THEN 169 ELSE 168 END"
+_RAW_NAME = f"""CASE WHEN s_suppkey % 7 = 3 OR s_suppkey % 13 = 5 AND p = n_bands - 1 OR s_suppkey % 2 = 0 AND (p + s_suppkey) % 50 = 7 THEN NULL
+ WHEN p = 168 THEN '{FILL_BAND}' WHEN s_suppkey % 5 = 0 AND p = 9 THEN 'M13_red' WHEN s_suppkey % 5 = 0 AND p = 10 THEN 'M02_purple'
+ WHEN s_suppkey % 5 = 0 AND p = 11 THEN 'red' ELSE {_stacked('(p + 13 * s_suppkey) % 168')} END"""
+_NAMED = dict(
+    h=f"SELECT s_suppkey, {_N_BANDS} AS n_bands FROM supplier",
+    r=f"SELECT s_suppkey, n_bands, CAST(p AS INT) AS p, {_RAW_NAME} AS raw FROM h, range(169) t(p) WHERE p < n_bands",
+    b=f"""SELECT *, coalesce(raw, CASE WHEN p < 168 THEN {_stacked('p')} WHEN s_suppkey % 7 = 3 THEN '{FILL_BAND}' ELSE concat('B', CAST(p + 1 AS VARCHAR)) END) AS name FROM r""",
+    q=f"""SELECT s_suppkey, p AS position, name, CASE WHEN NOT regexp_matches(name, '^M[0-9]{{2}}_.+$') THEN 'bad_format'
+ WHEN CAST(substr(name, 2, 2) AS INT) NOT BETWEEN 1 AND 12 THEN 'bad_month_range' ELSE 'unknown_band' END AS problem FROM b
+ WHERE name <> '{FILL_BAND}' AND NOT regexp_matches(name, '^M(0[1-9]|1[0-2])_({'|'.join(BANDS)})$')
+ UNION ALL SELECT s_suppkey, NULL, NULL, CASE WHEN s_suppkey % 7 = 3 THEN 'no names' ELSE 'names and bands differ in number' END
+ FROM h WHERE CASE WHEN s_suppkey % 7 = 3 THEN n_bands = 150 ELSE s_suppkey % 13 = 5 END""",
+    w="SELECT s_suppkey, CAST(m AS INT) AS month, " + ", ".join(
+        f"max(CASE WHEN name = concat('M', lpad(CAST(m AS VARCHAR), 2, '0'), '_{b}') THEN p END) AS {b}" for b in BANDS)
+    + " FROM b, range(1, 13) t(m) GROUP BY ALL")
+_UNSTACKED = "SELECT l_orderkey, l_linenumber, l_suppkey AS s_suppkey, month, " + ", ".join(f"l_quantity * 1000 + {b} AS {b}" for b in BANDS) + " FROM lineitem JOIN w ON l_suppkey = s_suppkey"
+
+
+def named_rasters(spark, sf):
+    """(pixels with value arrays, headers with band names), a raster for each supplier."""
+    counted = table(spark, sf, "supplier").selectExpr("s_suppkey", f"{_N_BANDS} AS n_bands")
+    n_names = "n_bands - CASE WHEN s_suppkey % 13 = 5 THEN 1 ELSE 0 END"
+    headers = counted.selectExpr("s_suppkey", "n_bands", f"CASE WHEN s_suppkey % 7 <> 3 THEN transform(sequence(0, {n_names} - 1), p -> {_RAW_NAME}) END AS band_names")
+    items = table(spark, sf, "lineitem").withColumnRenamed("l_suppkey", "s_suppkey")
+    return items.selectExpr("l_orderkey", "l_linenumber", "s_suppkey", f"transform(sequence(0, {_N_BANDS} - 1), p -> l_quantity * 1000 + p) AS values"), headers
+
+
+@check("raster_name_problems", duck("SELECT * FROM q", **_NAMED))
+def _(spark, sf):
+    return stacks.raster_name_problems(named_rasters(spark, sf)[1], ["s_suppkey"])
+
+
+@check("unstack_rasters", duck(_UNSTACKED, **_NAMED))
+def _(spark, sf):
+    return stacks.unstack_rasters(*named_rasters(spark, sf), ["s_suppkey"], strict=False)
+
+
+@check("unstack_rasters_strict", duck(f"{_UNSTACKED} WHERE s_suppkey NOT IN (SELECT s_suppkey FROM q)", **_NAMED))
+def _(spark, sf):
+    pixels, headers = named_rasters(spark, sf)
+    problems = stacks.stack_problems(headers, ["s_suppkey"])
+    return stacks.unstack_rasters(status.usable(pixels, problems, ["s_suppkey"]), status.usable(headers, problems, ["s_suppkey"]), ["s_suppkey"])
+
+
 _BAD = "CASE WHEN {c} IS NULL OR NOT isfinite({c}) THEN 1 ELSE 0 END"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from verdigrid.bands import BANDS, FILL_BAND, WIDE_BANDS
 from verdigrid.functions import arrays, calendar, geometry as geo, names, spectral
-from verdigrid.operators import composite, features, grid, metrics, pairing, scenes
+from verdigrid.operators import composite, features, grid, metrics, pairing, scenes, stacks
 
 
 def values(df, col):
@@ -168,3 +168,43 @@ def test_month_sequence_wraps_and_checks(spark):
     assert spark.range(1).select(arrays.month_sequence(F.lit(8), 6)).first()[0] == [8, 9, 10, 11, 0, 1]
     with pytest.raises(Exception, match="month must be below 12"):
         spark.range(1).select(arrays.month_sequence(F.lit(12), 2)).collect()
+
+
+def named_rasters(spark):
+    shuffled = [*reversed(WIDE_BANDS)]
+    headers = [("plain", WIDE_BANDS, 168), ("turned", shuffled, 168), ("unnamed", None, 168), ("blank", [None] * 169, 169),
+               ("odd", ["M01_red", "M13_red", "M02_purple", "red", FILL_BAND, None, "M01_red"], 7), ("short", WIDE_BANDS[:4], 6), ("nothing", [None] * 5, 5),
+               ("empty", [], 0), ("unknown", None, None)]
+    pixels = [(r, 1, [float(v) for v in range(n or 0)]) for r, _, n in headers] + [("lost", 1, [1.0]), ("plain", 2, None), ("turned", 2, [5.0])]
+    return (spark.createDataFrame(pixels, "raster STRING, pixel INT, values ARRAY<DOUBLE>"),
+            spark.createDataFrame(headers, "raster STRING, band_names ARRAY<STRING>, n_bands INT"))
+
+
+def test_band_names_of_each_raster(spark):
+    pixels, headers = named_rasters(spark)
+    rows = {(r["raster"], r["pixel"]): r["months"] for r in stacks.raster_months(pixels, headers, ["raster"], strict=False).collect()}
+    assert len(rows) == pixels.count() and all(len(m) == 12 for m in rows.values())
+    flat = {k: [v for m in months for v in m] for k, months in rows.items()}
+    assert flat["plain", 1] == flat["unnamed", 1] == flat["blank", 1] == [float(i) for i in range(168)]
+    assert flat["turned", 1] == [float(167 - i) for i in range(168)]
+    assert flat["turned", 2] == [None] * 167 + [5.0]
+    # the sixth band has no name and gets its position's, which the raster does not have otherwise; of two bands of one name the last counts
+    assert {i: v for i, v in enumerate(flat["odd", 1]) if v is not None} == {3: 6.0, 5: 5.0}
+    assert flat["short", 1][:7] == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0, None] and flat["nothing", 1][:6] == [0.0, 1.0, 2.0, 3.0, 4.0, None]
+    assert all(set(flat[k]) == {None} for k in [("lost", 1), ("plain", 2), ("empty", 1), ("unknown", 1)])
+
+
+def test_band_name_problems_of_each_raster(spark):
+    pixels, headers = named_rasters(spark)
+    listed = {(r["raster"], r["position"], r["name"], r["problem"]) for r in stacks.raster_name_problems(headers, ["raster"]).collect()}
+    assert listed == {("odd", 1, "M13_red", "bad_month_range"), ("odd", 2, "M02_purple", "unknown_band"), ("odd", 3, "red", "bad_format"),
+                      ("short", None, None, "names and bands differ in number"), ("nothing", None, None, "no names"), ("empty", None, None, "no names"),
+                      ("unknown", None, None, "no band count")}
+    errors = {r["raster"]: r["error"] for r in stacks.stack_problems(headers, ["raster"]).collect()}
+    assert errors == {"odd": "bad_month_range: M13_red", "short": "names and bands differ in number", "nothing": "no names", "empty": "no names", "unknown": "no band count"}
+    good = pixels.filter("raster IN ('plain', 'turned', 'unnamed', 'blank') AND pixel = 1")
+    assert stacks.unstack_rasters(good, headers, ["raster"]).count() == 4 * 12
+    for raster, pixel, error in [("odd", 1, "M13_red"), ("short", 1, "differ in number"), ("lost", 1, "without header"), ("turned", 2, "values and the bands")]:
+        with pytest.raises(Exception, match=error):
+            stacks.raster_months(pixels.filter(f"raster = '{raster}' AND pixel = {pixel}"), headers, ["raster"]).collect()
+    assert stacks.unstack_rasters(pixels.limit(0), headers, ["raster"]).count() == 0
