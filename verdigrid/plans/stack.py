@@ -8,6 +8,7 @@ from verdigrid.bands import BANDS, MAX_CLOUD_PCT, S1_BANDS, S2_BANDS, SEASON_STA
 from verdigrid.functions.calendar import season_bounds
 from verdigrid.operators import composite, scenes
 from verdigrid.skew import HOT_ROWS, bounded_median, median_of_hot, split_hot
+from verdigrid.sources.blocks import in_region
 
 
 def clear_optical(s2: DataFrame, max_cloud: float = MAX_CLOUD_PCT, bands: list[str] = S2_BANDS) -> DataFrame:
@@ -33,18 +34,21 @@ def radar_composite(s1: DataFrame, keys: list[str], start_month: int = SEASON_ST
 
 def season_medians(s2: DataFrame, s1: DataFrame, pixels: DataFrame, keys: list[str], first_year: int, last_year: int,
                    bands: list[str] = BANDS, max_cloud: float = MAX_CLOUD_PCT, start_month: int = SEASON_START_MONTH,
-                   start_day: int = 1, hot_rows: int | None = HOT_ROWS, year: str | None = None) -> DataFrame:
+                   start_day: int = 1, hot_rows: int | None = HOT_ROWS, year: str | None = None, region: DataFrame | None = None) -> DataFrame:
     """A row with the given bands for every pixel, season of the range, and month with an observation; a NULL month where there is none.
 
     A median gathers the observations of a pixel, season and month. The rows of every pixel are counted first, and those of
     pixels above ``hot_rows`` take another way, so no list grows without bound; ``hot_rows=None`` saves that pass over the
     data where the sensors' revisit is known to bound a group. ``year`` names a partition column of both tables with the calendar year of ``ts``.
+    ``region`` lists the values of further partition columns of both tables that the cells need (``sources.blocks``): other folders are not read.
     ``pixels`` are the cells to build (inside of a region, or of the scored class),
     each once. Both sensors are shuffled together, by pixel and season, to the join
     with the cells; medians, month spine and all later work per pixel stay in place.
     """
     start = season_bounds(first_year, start_month, start_day)[0]
     end = season_bounds(last_year, start_month, start_day)[1]
+    if region is not None:
+        s2, s1 = in_region(s2, region), in_region(s1, region)
     optical = clear_optical(scenes.filter_dates(s2, start, end, year=year), max_cloud, [b for b in S2_BANDS if b in bands])
     radar = linear_radar(scenes.filter_dates(s1, start, end, year=year))
     seen = composite.union_sensors(composite.with_season(optical, "ts", start_month, start_day),
