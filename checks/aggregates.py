@@ -136,7 +136,9 @@ _UNSTACKED = "SELECT l_orderkey, l_linenumber, l_suppkey AS s_suppkey, month, "
 
 def named_rasters(spark, sf):
     """(pixels with value arrays, headers with band names), a raster for each supplier."""
-    counted = table(spark, sf, "supplier").selectExpr("s_suppkey", f"{_N_BANDS} AS n_bands")
+    # the names are made of a few bytes a supplier, so they are spread before
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = table(spark, sf, "supplier").repartition(tasks, "s_suppkey").selectExpr("s_suppkey", f"{_N_BANDS} AS n_bands")
     n_names = "n_bands - CASE WHEN s_suppkey % 13 = 5 THEN 1 ELSE 0 END"
     headers = counted.selectExpr("s_suppkey", "n_bands", f"CASE WHEN s_suppkey % 7 <> 3 THEN transform(sequence(0, {n_names} - 1), p -> {_RAW_NAME}) END AS band_names")
     items = table(spark, sf, "lineitem").withColumnRenamed("l_suppkey", "s_suppkey")

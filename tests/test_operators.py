@@ -208,3 +208,17 @@ def test_band_name_problems_of_each_raster(spark):
         with pytest.raises(Exception, match=error):
             stacks.raster_months(pixels.filter(f"raster = '{raster}' AND pixel = {pixel}"), headers, ["raster"]).collect()
     assert stacks.unstack_rasters(pixels.limit(0), headers, ["raster"]).count() == 0
+
+
+def test_names_are_placed_once_a_raster_and_months_without_structs(spark):
+    pixels, headers = named_rasters(spark)
+    names = headers.select(stacks.band_places(F.col("band_names")).alias("places"))
+    assert names._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 1  # the names are not gone through for each of the bands
+    plan = stacks.unstack_rasters(pixels, headers, ["raster"], strict=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "named_struct(coastal" not in plan
+    long = {(r["raster"], r["pixel"], r["month"]): [r[b] for b in BANDS] for r in stacks.unstack_rasters(pixels, headers, ["raster"], strict=False).collect()}
+    months = stacks.raster_months(pixels, headers, ["raster"], strict=False).collect()
+    assert len(long) == 12 * len(months) and all(long[r["raster"], r["pixel"], m] == list(r["months"][m - 1]) for r in months for m in range(1, 13))
+    many = spark.range(3000).select(F.col("id").alias("raster"), F.lit(168).alias("n_bands"), F.array(*[F.lit(b) for b in reversed(WIDE_BANDS)]).alias("band_names"))
+    placed = many.repartition(8).select(stacks.band_places(stacks.resolved_names(F.col("band_names"), F.col("n_bands"))).alias("p"))
+    assert placed.filter(F.col("p") == F.sequence(F.lit(167), F.lit(0))).count() == 3000

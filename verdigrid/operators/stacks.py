@@ -38,19 +38,40 @@ def raster_name_problems(headers: DataFrame, keys: list[str], names: str = "band
 
 def stack_problems(headers: DataFrame, keys: list[str], names: str = "band_names", width: str = "n_bands") -> DataFrame:
     """(keys, error) of the rasters that a strict reading refuses, each with its first problem; for ``plans.status.usable``."""
-    found = headers.select(*keys, listed_problems(F.col(names), F.col(width)).alias("_found")).filter(F.size("_found") > 0)
-    first = F.col("_found")[0]
-    return found.select(*keys, F.concat_ws(": ", first["problem"], first["name"]).alias("error"))
+    # listed by an outer generator: a filter on the list itself would be pushed below, and the names placed a second time
+    found = headers.select(*keys, F.posexplode_outer(listed_problems(F.col(names), F.col(width))).alias("_at", "_found")).filter("_at = 0")
+    return found.select(*keys, F.concat_ws(": ", F.col("_found.problem"), F.col("_found.name")).alias("error"))
 
 
-def band_places(names: Column, width: Column) -> Column:
-    """For each of the 168 stacked bands, month by month, the 0-based position of its value, NULL if the raster has none.
+def band_places(resolved: Column) -> Column:
+    """For each of the 168 stacked bands, month by month, the 0-based position of its value among the ``resolved`` names, NULL if the raster has none.
 
-    Of several bands of one name the last counts.
+    Of several bands of one name the last counts. Every name is looked up among the stacked ones once, and the bands among the numbers found.
     """
-    backwards = F.reverse(resolved_names(names, width))
-    return F.transform(F.array(*[F.lit(n) for n in WIDE_BANDS]), lambda n: F.when(
-        F.array_contains(backwards, n), (F.size(backwards) - F.array_position(backwards, n)).cast("int")))
+    wanted = F.array(*[F.lit(n) for n in WIDE_BANDS])
+    backwards = F.transform(F.reverse(resolved), lambda n: F.array_position(wanted, n))
+    bands = F.sequence(F.lit(1).cast("bigint"), F.lit(len(WIDE_BANDS)).cast("bigint"))
+
+    def placed(of: Column) -> Column:
+        return F.transform(bands, lambda k: F.when(F.array_contains(of, k), (F.size(of) - F.array_position(of, k)).cast("int")))
+
+    return F.transform(F.array(backwards), placed)[0]  # a lambda's variable: the numbers are found once, not once a band
+
+
+def _located(pixels: DataFrame, headers: DataFrame, keys: list[str], strict: bool, values: str, names: str, width: str) -> DataFrame:
+    """``pixels`` with ``_places`` of their raster's header; in a strict call, of a pixel without fault only."""
+    # the names and what is wrong with them are columns of their own, used more than once and so reckoned once
+    named = headers.select(*keys, F.col(width).alias("_width"), resolved_names(F.col(names), F.col(width)).alias("_names"),
+                           listed_problems(F.col(names), F.col(width)).alias("_found"))
+    placed = named.select(*keys, band_places(F.col("_names")).alias("_places"), "_width",
+                          F.when(F.size("_found") > 0, F.concat_ws(": ", F.col("_found")[0]["problem"], F.col("_found")[0]["name"])).alias("_problem"))
+    joined = pixels.join(placed, keys, "left")
+    places = F.col("_places")
+    if strict:
+        wrong = (F.when(places.isNull(), "raster without header").when(F.col("_problem").isNotNull(), F.col("_problem"))
+                 .when(F.coalesce(F.size(values), F.lit(-1)) != F.col("_width"), "a pixel's values and the bands differ in number"))
+        places = F.when(wrong.isNull(), places).otherwise(F.raise_error(wrong).cast("array<int>"))
+    return joined.select(*pixels.columns, places.alias("_places"))
 
 
 def raster_months(pixels: DataFrame, headers: DataFrame, keys: list[str], strict: bool = True, values: str = "values",
@@ -61,23 +82,20 @@ def raster_months(pixels: DataFrame, headers: DataFrame, keys: list[str], strict
     raster; a pixel picks its values by position. A band that its raster lacks is NULL. A strict call fails on a raster with
     a problem or without a header, and on a pixel with another number of values; a lenient one leaves out what it cannot place.
     """
-    problems = listed_problems(F.col(names), F.col(width))
-    placed = headers.select(*keys, band_places(F.col(names), F.col(width)).alias("_places"), F.col(width).alias("_width"),
-                            F.when(F.size(problems) > 0, F.concat_ws(": ", problems[0]["problem"], problems[0]["name"])).alias("_problem"))
-    joined = pixels.join(placed, keys, "left")
+    located = _located(pixels, headers, keys, strict, values, names, width)
     months = F.transform(F.array(*[F.lit((m - 1) * len(BANDS)) for m in MONTHS]), lambda at: F.struct(*[
         F.get(F.col(values), F.get(F.col("_places"), at + i)).cast("double").alias(b) for i, b in enumerate(BANDS)]))
-    if strict:
-        wrong = (F.when(F.col("_places").isNull(), "raster without header").when(F.col("_problem").isNotNull(), F.col("_problem"))
-                 .when(F.coalesce(F.size(values), F.lit(-1)) != F.col("_width"), "a pixel's values and the bands differ in number"))
-        months = F.when(wrong.isNull(), months).otherwise(F.raise_error(wrong).cast(f"array<struct<{', '.join(f'{b}: double' for b in BANDS)}>>"))
-    return joined.select(*[c for c in pixels.columns if c != values], months.alias("months"))
+    return located.select(*[c for c in pixels.columns if c != values], months.alias("months"))
 
 
 def unstack_rasters(pixels: DataFrame, headers: DataFrame, keys: list[str], strict: bool = True, values: str = "values",
                     names: str = "band_names", width: str = "n_bands") -> DataFrame:
-    """The long form of ``raster_months``: one row per pixel and month with the 14 bands."""
-    wide = raster_months(pixels, headers, keys, strict, values, names, width)
-    others = [c for c in wide.columns if c != "months"]
-    return (wide.select(*others, F.posexplode("months").alias("_at", "_bands"))
-            .select(*others, (F.col("_at") + 1).alias("month"), "_bands.*"))
+    """The long form of ``raster_months``: one row per pixel and month with the 14 bands.
+
+    A pixel's row is repeated by month first and each picks its bands, in compiled code: no nested months are built.
+    """
+    located = _located(pixels, headers, keys, strict, values, names, width)
+    others = [c for c in pixels.columns if c != values]
+    by_month = located.select(*others, F.col(values).alias("_values"), "_places", F.explode(F.array(*[F.lit(m) for m in MONTHS])).alias("month"))
+    first = (F.col("month") - 1) * len(BANDS)
+    return by_month.select(*others, "month", *[F.get("_values", F.get("_places", first + i)).cast("double").alias(b) for i, b in enumerate(BANDS)])
