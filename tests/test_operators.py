@@ -222,3 +222,13 @@ def test_names_are_placed_once_a_raster_and_months_without_structs(spark):
     many = spark.range(3000).select(F.col("id").alias("raster"), F.lit(168).alias("n_bands"), F.array(*[F.lit(b) for b in reversed(WIDE_BANDS)]).alias("band_names"))
     placed = many.repartition(8).select(stacks.band_places(stacks.resolved_names(F.col("band_names"), F.col("n_bands"))).alias("p"))
     assert placed.filter(F.col("p") == F.sequence(F.lit(167), F.lit(0))).count() == 3000
+
+
+def test_unstack_projects_each_month_of_a_row(spark):
+    wide = spark.range(3).select(F.col("id").alias("a b"), *[(F.col("id") * 1000 + i).alias(n) for i, n in enumerate(WIDE_BANDS) if i != 5])
+    long = composite.unstack(wide, ["a b"])
+    plan = long._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan and "Generate" not in plan  # no array of twelve structs
+    got = {(r["a b"], r["month"]): [r[b] for b in BANDS] for r in long.collect()}
+    assert long.columns == ["a b", "month", *BANDS] and len(got) == 36
+    assert got == {(i, m): [None if (m, k) == (1, 5) else i * 1000.0 + 14 * (m - 1) + k for k in range(14)] for i in range(3) for m in range(1, 13)}

@@ -112,11 +112,13 @@ def unstack(stack: DataFrame, keys: list[str], strict: bool = True, by_name: boo
         if strict and len(wide) != len(order):
             raise ValueError(f"expected {len(order)} bands without names, got {len(wide)}")
         source = dict(zip(order, wide))
-    rows = [F.struct(F.lit(m).alias("month"),
-                     *[(F.col(source[wide_name(m, b)]).cast("double") if wide_name(m, b) in source
-                        else F.lit(None).cast("double")).alias(b) for b in BANDS])
-            for m in MONTHS]
-    return stack.select(*keys, F.inline(F.array(*rows)))
+    columns = [F.col(source[wide_name(m, b)]).cast("double").alias(wide_name(m, b)) if wide_name(m, b) in source
+               else F.lit(None).cast("double").alias(wide_name(m, b)) for m in MONTHS for b in BANDS]
+    # one projection of the row for each month, instead of an array of twelve structs
+    months = ", ".join(f"({', '.join(wide_name(m, b) for b in BANDS)}) AS `{m}`" for m in MONTHS)
+    long = stack.sparkSession.sql(f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS (({', '.join(BANDS)}) FOR _month IN ({months}))",
+                                  wide=stack.select(*keys, *columns))
+    return long.selectExpr(*[f"`{k}`" for k in keys], "CAST(_month AS INT) AS month", *BANDS)
 
 
 def nonfinite_pct(df: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
