@@ -172,3 +172,16 @@ def test_weighted_copies(spark):
     again = model.weighted_copies(rows.repartition(3), "w", ["id"]).groupBy("id").count()
     assert again.exceptAll(model.weighted_copies(rows, "w", ["id"]).groupBy("id").count()).count() == 0
     assert model.weighted_copies(rows.filter("w = 0"), "w", ["id"]).count() == 0
+
+
+def test_scoring_is_dealt_to_many_tasks(spark):
+    x = F.array(*[F.array(*[F.lit(0.1)] * 17)] * 12)
+    pixels = spark.range(200).coalesce(1).select("id", x.alias("x"), F.lit(50.0).alias("lat"), F.lit(20.0).alias("lon"))
+    tasks = model.encode_pixels(pixels, WEIGHTS).select("id", F.spark_partition_id().alias("p")).collect()
+    assert len(tasks) == 200 and len({r["p"] for r in tasks}) >= 16  # few bytes, but costly rows: not one task
+
+
+def test_gelu_in_blocks():
+    x = np.linspace(-9, 9, 3 * encoder.GELU_BLOCK + 5)
+    want = np.array([v * 0.5 * (1 + math.erf(v / math.sqrt(2))) for v in x[::997]])
+    assert np.abs(encoder.gelu(x)[::997] - want).max() < 2e-6 and encoder.gelu(x.astype(np.float32).reshape(-1, 1)).dtype == np.float32
