@@ -700,6 +700,37 @@ def test_windows_cover_key_words_and_odd_tokens():
     assert list(secret_scan.windows("", [])) == [] and all(b - a <= 1 or text[a:b].strip() == text[a:b] for a, b in secret_scan.suspicious(text))
 
 
+def test_the_field_tags_every_token_of_a_text(docs):
+    """Spans are those of the best path over all tokens, wherever key words and odd tokens stand; scores are those of the features."""
+    rng = np.random.default_rng(5)
+    texts = [r.text[:3000] for r in docs.orderBy("doc_id").limit(25).collect() if r.text] + ["a", "-- \x1c\u3000é\u017f K\u212ay pass token:", "no key words, no odd ones", "Xy7!kP2q " * 9]
+    found = 0
+    for scale in (1.0, 0.2):
+        field = secret_scan.Field(rng.normal(size=(secret_scan.FEATURES, 3)) * scale, rng.normal(size=(3, 3)))
+        field.emit[:, secret_scan.OUT] += 0.1
+        field.step[secret_scan.OUT, secret_scan.INSIDE] = -1e4
+        tagger = secret_scan.Tagger(field)
+        for text in texts:
+            tokens = [m.span() for m in secret_scan.TOKEN.finditer(text)]
+            starts, ends = secret_scan.token_places(text)
+            assert list(zip(starts.tolist(), ends.tolist())) == tokens
+            share = secret_scan._share(text, secret_scan.suspicious(text))
+            rows = secret_scan.features(text, tokens, share)
+            score = tagger.scores(secret_scan.TOKEN.findall(text), starts, ends, share)
+            assert np.allclose(score, [field.emit[r].sum(axis=0) for r in rows])
+            want = []
+            for (a, b), tag in zip(tokens, secret_scan.viterbi(field, rows)):
+                if tag == secret_scan.BEGIN:
+                    want.append((a, 3, b))
+                elif tag == secret_scan.INSIDE:
+                    want[-1] = (want[-1][0], 3, b)
+            assert secret_scan.field_spans(text, field, tagger) == want == secret_scan.field_spans(text, field)
+            found += len(want)
+    assert found > 1000
+    words = {w for t in texts for w in secret_scan.TOKEN.findall(t)} | {"Auth", "xAuthx", "Key", "monkey", "my_KEY", "apikey", "passWD", "Bearer", "auth_", "credentials"}
+    assert all(secret_scan.is_key(w) == bool(secret_scan.KEYWORD.search(w)) for w in words)
+
+
 def test_executors_need_no_copy_of_the_library(sf, tmp_path):
     """Operators with broadcast models, from a folder where Python workers find no package."""
     code = f"""
