@@ -157,6 +157,16 @@ def test_cuts():
     assert [x.tolist() for x in alignment.cuts([], [])] == [[], []]
 
 
+def test_cuts_are_those_of_sets_and_need_no_python_numbers():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        a, b = [np.flatnonzero(rng.random(300) < p) + 1 for p in (0.4, 0.2)]
+        common = sorted(set(a.tolist()) & set(b.tolist()))
+        got = alignment.cuts(a, b)
+        assert [x.tolist() for x in got] == [[a.tolist().index(c) + 1 for c in common], [b.tolist().index(c) + 1 for c in common]]
+        assert all(x.dtype == np.int64 for x in got)
+
+
 def test_alignment_equals_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40).cache()
     want = sorted(plain_alignment([(r.doc_id, r.text) for r in docs.collect()]))

@@ -22,14 +22,17 @@ CHUNK, BLOCK = 1_000_000, 1_000_000
 BITS = 20
 
 
-def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token counts of both sides up to every byte offset where tokens of both end, in order.
 
-    Each side's ends, which ascend, are looked up in a dictionary of the other's; the keys that both hold are the cuts.
+    Ends ascend. B's are entered in a dictionary by offset, an array with a place for each; A's that are found there are the cuts.
     """
-    index_a, index_b = [dict(zip(ends, range(1, len(ends) + 1))) for ends in (ends_a, ends_b)]
-    common = list(filter(index_b.__contains__, index_a))  # sorted, as a dictionary keeps its order
-    return [np.array(list(map(index.__getitem__, common)), np.int64) for index in (index_a, index_b)]
+    ends_a, ends_b = [np.asarray(ends, np.int64) for ends in (ends_a, ends_b)]
+    index_b = np.zeros(max(ends_a.max(initial=0), ends_b.max(initial=0)) + 1, np.int32)
+    index_b[ends_b] = np.arange(1, len(ends_b) + 1)
+    found = index_b[ends_a]
+    common = np.flatnonzero(found)
+    return common + 1, found[common].astype(np.int64)
 
 
 def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +131,7 @@ class Aligner:
         return a.astype(np.int64), np.array(b, np.int64)
 
     def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return cuts(np.cumsum(self.len_a[a]).tolist(), np.cumsum(self.len_b[b]).tolist())
+        return cuts(np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b]))
 
     def written_groups(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> str:
         """``a1,a2|b1;...`` with ids of one side between commas, sides parted by ``|`` and groups by ``;``."""
