@@ -205,3 +205,19 @@ def test_cover_grows_with_the_outline(spark):
     assert sorted((r["roi"], r["grid_row"], r["grid_col"]) for r in paired.collect()) == wanted and "poly" in paired.columns
     plan = clipped._jdf.queryExecution().executedPlan().toString()
     assert "explode(sequence(first_col" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_crop_sends_no_spans_or_pixels_through_the_driver(spark):
+    from verdigrid.plans import crop
+
+    edges = spark.createDataFrame([(1, 0.0, 0.0, 6.0, 0.0), (1, 6.0, 0.0, 6.0, 5.0), (1, 6.0, 5.0, 0.0, 0.0)], "poly INT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE")
+    headers = spark.createDataFrame([(7, "/a", 8, 6, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0)], "raster_id INT, path STRING, width INT, height INT, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, "
+                                    "e DOUBLE, f DOUBLE, nodata DOUBLE")
+    pixels = spark.range(48).selectExpr("7 AS raster_id", "id DIV 8 AS grid_row", "id % 8 AS grid_col", "1L AS value")
+    unit = {k: F.lit(v) for k, v in dict(a=1.0, b=0.0, c=0.0, d=0.0, e=1.0, f=0.0).items()}
+    props = spark.createDataFrame([(1, {"id": "x"})], "poly INT, props MAP<STRING, STRING>")
+    cropped = crop.crop_by_polygons(edges, ["poly"], headers, pixels, unit, props=props, id_field="id")
+    plan = cropped._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.split("\n") if "BroadcastHashJoin" in line]
+    assert not any(k in line for line in sent for k in ("[poly", "first_col", "grid_row"))  # only rasters' headers may be sent
+    assert {(r["poly_id"], r["grid_row"], r["grid_col"]) for r in cropped.collect()} == {("x", r, c) for r in range(5) for c in range(6) if r + 0.5 < (c + 0.5) * 5 / 6}

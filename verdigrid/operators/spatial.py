@@ -125,8 +125,9 @@ def box_overlap_join(left: DataFrame, left_box: list[str], right: DataFrame, rig
         return box_cells(box_levels(df, box, top), box)
 
     keys = [*on, "_level", "_cx", "_cy"]
-    not_smaller = up(left, left_box, 0).join(own(right, right_box), keys).filter(meet & home)
-    smaller = up(right, right_box, 1).join(own(left, left_box), keys).filter(meet & home)
+    # a box's cells are many rows made of few bytes, which the planner takes for a table small enough to send: shuffled on both sides instead
+    not_smaller = up(left, left_box, 0).join(own(right, right_box).hint("merge"), keys).filter(meet & home)
+    smaller = up(right, right_box, 1).join(own(left, left_box).hint("merge"), keys).filter(meet & home)
     return not_smaller.unionByName(smaller).drop("_level", "_cx", "_cy")
 
 
@@ -159,7 +160,7 @@ def iou_join(edges: DataFrame, poly_keys: list[str], footprints: DataFrame, rast
     chunk = F.coalesce(F.pmod(F.xxhash64(*EDGE), F.col("_chunks")), F.lit(0).cast("bigint"))
     chunked = edges.select(*poly_keys, *EDGE).join(split, poly_keys, "left").withColumn("_chunk", chunk)
     common = (pairs.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks.cast("bigint") - 1)))
-              .join(chunked.drop("_chunks"), [*poly_keys, "_chunk"]))
+              .join(chunked.drop("_chunks").hint("merge"), [*poly_keys, "_chunk"]))  # edges never pass the driver
     box_area = (F.col("bx1") - F.col("bx0")) * (F.col("by1") - F.col("by0"))
     shared = (geo.clipped_area_terms(common, EDGE, box, "_term").groupBy(*poly_keys, *[k for k in raster_keys if k not in poly_keys])
               .agg(F.abs(F.coalesce(F.sum("_term"), F.lit(0.0))).alias("inter_area"),
