@@ -185,3 +185,45 @@ def test_gelu_in_blocks():
     x = np.linspace(-9, 9, 3 * encoder.GELU_BLOCK + 5)
     want = np.array([v * 0.5 * (1 + math.erf(v / math.sqrt(2))) for v in x[::997]])
     assert np.abs(encoder.gelu(x)[::997] - want).max() < 2e-6 and encoder.gelu(x.astype(np.float32).reshape(-1, 1)).dtype == np.float32
+
+
+def test_pixels_with_missing_values_are_not_encoded(monkeypatch):
+    rng = np.random.default_rng(3)
+    x, lat, lon = rng.random((21, 12, 17)), rng.random(21) * 50, rng.random(21) * 20
+    want = encoder.in_chunks(x, lat, lon, WEIGHTS, 0)
+    assert np.isfinite(want).all()
+    gaps, at = x.copy(), lat.copy()
+    gaps[2, 5, encoder.CHANNELS.index("vv")], gaps[9, 0, encoder.CHANNELS.index("ndvi")], at[20] = np.nan, np.inf, np.nan
+    gaps[4, 1, encoder.CHANNELS.index("era5_0")] = np.nan  # a channel that nobody supplies is not looked at
+    seen = []
+    monkeypatch.setattr(encoder, "encode", lambda part, *a, f=encoder.encode: seen.append(len(part)) or f(part, *a))
+    got = encoder.in_chunks(gaps, at, lon, WEIGHTS, 0)
+    missing = [2, 9, 20]
+    assert sum(seen) == 18 and np.isnan(got[missing]).all()
+    assert np.delete(got, missing, 0) == pytest.approx(np.delete(want, missing, 0), abs=1e-5)
+
+
+def test_attention_looks_up_maxima_where_sums_are_not_safe(monkeypatch):
+    rng = np.random.default_rng(4)
+    x, lat, lon = rng.random((9, 12, 17)), rng.random(9) * 50, rng.random(9) * 20
+    want = encoder.in_chunks(x, lat, lon, WEIGHTS, 0)
+    monkeypatch.setattr(encoder, "SAFE_SUM", np.float32(1))
+    assert encoder.in_chunks(x, lat, lon, WEIGHTS, 0) == pytest.approx(want, abs=1e-5)
+    monkeypatch.undo()
+    large = {n: w * np.float32(40 if n.endswith("qkv.weight") else 1) for n, w in WEIGHTS.items()}
+    assert np.isfinite(encoder.in_chunks(x, lat, lon, large, 0)).all()  # logits far beyond the range of exp()
+
+
+def test_months_of_images_are_one_row_a_pixel(spark, tmp_path):
+    from checks import scoring
+
+    spark.sql("SELECT id AS p_partkey, CAST(id % 50 AS INT) AS p_size FROM range(60)").write.parquet(str(tmp_path / "part.parquet"))
+    spark.sql("""SELECT id AS l_orderkey, id % 60 AS l_partkey, CAST(id % 7 + 1 AS INT) AS l_linenumber, CAST(id % 50 + 1 AS DOUBLE) AS l_quantity, CAST(900 + id * 7 AS DOUBLE) AS l_extendedprice,
+     (id % 9) / 100.0D AS l_discount, (id % 6) / 100.0D AS l_tax, 'N' AS l_returnflag, 'F' AS l_linestatus, CAST(date_add(DATE'1995-01-02', CAST(id * 3 AS INT)) AS TIMESTAMP_NTZ) AS l_shipdate
+     FROM range(700)""").write.parquet(str(tmp_path / "lineitem.parquet"))
+    keys = ["roi", "idx", "grid_row", "grid_col"]
+    months = scoring.image_months(spark, str(tmp_path))
+    assert months.count() == 60
+    flat = months.select(*keys, F.posexplode("months").alias("month", "_m")).select(*keys, (F.col("month") + 1).alias("month"), "_m.*")
+    long = scoring.image_cube(spark, str(tmp_path)).select(*flat.columns)
+    assert long.count() == 720 and flat.exceptAll(long).count() == 0 and long.filter("nir IS NOT NULL").count() > 0
