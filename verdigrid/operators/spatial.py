@@ -246,15 +246,18 @@ def edges_of_images(edges: DataFrame, headers: DataFrame, keys: list[str], poly_
     ``edges`` and ``headers`` carry ``epsg``. Write the table before work that filters it.
     """
     own = headers.select(*keys, F.col("epsg").alias("_epsg"))
-    return reproject_edges(edges.join(own, [k for k in keys if k in poly_keys]), F.col("_epsg")).drop("_epsg")
+    return reproject_edges(edges.hint("merge").join(own, [k for k in keys if k in poly_keys]), F.col("_epsg")).drop("_epsg")
 
 
 def clip_images(cells: DataFrame, headers: DataFrame, edges: DataFrame, keys: list[str], poly_keys: list[str]) -> DataFrame:
-    """Cells of each raster inside of any of its polygons, every raster on a grid of its own; ``edges`` as of ``edges_of_images``."""
+    """Cells of each raster inside of any of its polygons, every raster on a grid of its own; ``edges`` as of ``edges_of_images``.
+
+    Edges and spans grow with the outlines, and are shuffled whatever size the planner guesses.
+    """
     every = list(dict.fromkeys([*keys, *poly_keys]))
-    placed = edges.select(*every, *EDGE).join(headers.select(*keys, *geo.AFFINE), keys)
+    placed = edges.select(*every, *EDGE).hint("merge").join(headers.select(*keys, *geo.AFFINE), keys)
     inside = polygon_spans(placed, every, geo.affine()).select(*keys, "grid_row", "first_col", "last_col")
-    return within_spans(cells, inside, keys, "left_semi")
+    return within_spans(cells, inside.hint("merge"), keys, "left_semi")
 
 
 def mosaic_first(pixels: DataFrame, keys: list[str], rank: Column, nodata: Column) -> DataFrame:
